@@ -1,0 +1,33 @@
+"""The operators' queries over the driver's tables, and their SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from framewright import ship_to_workers
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_to_workers(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.token_files import token_id_files
+
+    return token_id_files(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=1)
+
+
+QUERIES = {
+    "op2_token_files": op2_token_files,
+}
+
+ORACLE_SQL: dict[str, str] = {}
