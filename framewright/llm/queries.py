@@ -26,8 +26,63 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_id_files(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=1)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.warc import archived
+
+    rows = archived(table(spark, sf_dir, "pages")).where("gap is null")
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.packing import packed
+
+    return packed(table(spark, sf_dir, "documents"), tokenizer_path(), window=4096, end_id=2)
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.url_filter import judged, labelled_urls
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judged(pages, labelled_urls(spark)).select("page_id", "host", "path", "rule", "verdict", "unwanted")
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from framewright.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op2_token_files": op2_token_files,
+    "op5_warc": op5_warc,
+    "op6_packing": op6_packing,
+    "op7_url_filter": op7_url_filter,
+    "op8_simhash": op8_simhash,
+    "op9_topk": op9_topk,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 100 = 0
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+    """,
+}

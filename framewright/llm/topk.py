@@ -1,0 +1,143 @@
+"""Exact top-k by integer inner product, over vectors sorted by length.
+
+Candidates are dealt by descending length into groups, queries into groups of
+bounded size; a task takes one group of each.  It rotates both by the right
+singular vectors of its candidates, takes the first rotated components'
+partial sums, and adds the Cauchy-Schwarz bound of the rest.  Only where that
+bound reaches a query's k-th best score so far is the exact integer score
+computed, and a query is done with a group when its length times the next
+candidate's is below that score.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+GROUP = 8192  # candidates to a task
+QUERIES = 2048  # queries to a task
+STEP = 1024  # candidates between two looks at the bounds
+HEAD = 0.25  # of the rotated components in the partial sums
+
+SCALE = 1024
+
+
+def integers(vector: Column, scale: int = SCALE) -> Column:
+    """floor(scale * x) of each component x as double; null for a null vector
+    or one that holds null or non-finite components."""
+    fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.when(vector.isNotNull() & fine, F.transform(vector, lambda x: F.floor(x.cast("double") * scale)))
+
+
+def _blocks(vectors: DataFrame, size: int) -> DataFrame:
+    """(g, ids, values, dim): rows in the order given, in blocks of one length
+    of vector and at most ``size`` rows; values are 64-bit integers."""
+
+    def run(batches):
+        number, held = TaskContext.get().partitionId() << 24, {}
+
+        def block(dim: int) -> pa.RecordBatch:
+            nonlocal number
+            ids, values = zip(*held.pop(dim), strict=True)
+            number += 1
+            return pa.RecordBatch.from_pydict({"g": [number], "dim": [dim], "ids": [np.array(ids, "<i8").tobytes()], "values": [np.concatenate(values).astype("<i8").tobytes() if dim else b""]})
+
+        for batch in batches:
+            lists = batch.column(1)
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum([len(x) for x in lists])
+            for i, (vec_id, end) in enumerate(zip(batch.column(0).to_pylist(), ends.tolist(), strict=True)):
+                dim = len(lists[i])
+                held.setdefault(dim, []).append((vec_id, flat[end - dim : end]))
+                if len(held[dim]) == size:
+                    yield block(dim)
+        for dim in list(held):
+            yield block(dim)
+
+    return vectors.mapInArrow(run, "g long, dim long, ids binary, values binary")
+
+
+def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Integer inner products (queries, candidates); float64 while it is exact."""
+    top = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, q.shape[1])
+    if top < 2**53:
+        return (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
+    whole = np.dot(q.astype(object), c.T.astype(object))
+    return np.clip(whole, -(2**63), 2**63 - 1).astype(np.int64)
+
+
+def top_of(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """(query_id, vec_id, score) of each query's k best among the vectors."""
+    length = np.sqrt((vectors.astype(np.float64) ** 2).sum(1))
+    order = np.argsort(-length, kind="stable")
+    vectors, ids, length = vectors[order], ids[order], length[order]
+    exact = vectors.astype(np.float64)
+    _, rotation = np.linalg.eigh(exact.T @ exact) if exact.shape[1] else (None, np.zeros((0, 0)))
+    rotation = rotation[:, ::-1]
+    c, q = exact @ rotation, queries.astype(np.float64) @ rotation
+    head = max(1, int(HEAD * c.shape[1]))
+    rest = [np.sqrt((x[:, head:] ** 2).sum(1)) for x in (q, c)]
+    q_length = np.sqrt((q**2).sum(1))
+    slack = 1e-9 * (q_length[:, None] * (length.max(initial=0) + 1)) + 1e-6  # for rounding in the bounds
+    best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in query_ids]
+    least = np.full(len(query_ids), -np.inf)
+    for low in range(0, len(ids), STEP):
+        high = min(low + STEP, len(ids))
+        live = np.flatnonzero(q_length * length[low] + slack[:, 0] >= least)
+        if not len(live):
+            break
+        bound = q[live, :head] @ c[low:high, :head].T + rest[0][live, None] * rest[1][None, low:high] + slack[live]
+        wanted = bound >= least[live, None]
+        live, wanted = live[wanted.any(1)], wanted[wanted.any(1)]
+        if not len(live):
+            continue
+        some = np.flatnonzero(wanted.any(0))
+        scores = _exact(queries[live], vectors[low:high][some])
+        wanted = wanted[:, some] & (ids[low:high][some][None, :] != query_ids[live, None])
+        for r, i in enumerate(live.tolist()):
+            at = np.flatnonzero(wanted[r] & (scores[r] >= least[i]))
+            if len(at):
+                s, v = np.concatenate([best[i][0], scores[r, at]]), np.concatenate([best[i][1], ids[low:high][some][at]])
+                keep = np.lexsort((v, -s))[:k]
+                best[i] = s[keep], v[keep]
+                if len(keep) == k:
+                    least[i] = float(s[keep[-1]])
+    return [(int(query_ids[i]), int(v), int(s)) for i, (ss, vv) in enumerate(best) for s, v in zip(ss, vv, strict=True)]
+
+
+def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = SCALE, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """query_id, rank (from 1), vec_id, score: for each row that is_query the
+    k rows of other ids with the highest inner products, ties to the smaller
+    id; all of them if there are fewer.
+
+    Rows with a null id, a null vector, or null or non-finite components take
+    no part.  Vectors of different lengths aren't compared; empty vectors
+    score 0 with each other.  Rows of one id are candidates one by one; a
+    query id that is repeated is answered once, for its row of least vector.
+    Scores beyond 64 bits are cut to them.
+    """
+    rows = vectors.where(is_query | ~is_query).select(F.col(id_col).cast("long").alias("i"), integers(F.col(vector_col), scale).alias("v"), is_query.alias("q")).where("i is not null and v is not null")
+    length = F.aggregate("v", F.lit(0.0), lambda t, x: t + x.cast("double") * x)
+    spread = F.xxhash64("i")
+    sorted_rows = rows.withColumn("l", length).repartitionByRange(F.desc("l"), spread).sortWithinPartitions(F.desc("l"), spread).select("i", "v")
+    asked = rows.where("q").groupBy("i").agg(F.min("v").alias("v"))
+    left = _blocks(sorted_rows, GROUP)
+    right = _blocks(asked.repartition("i"), QUERIES).select(F.col("g").alias("h"), "dim", F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
+    pairs = left.join(right, "dim")
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                dim = batch.column("dim")[i].as_py()
+                ids, values, q_ids, q_values = (np.frombuffer(batch.column(n)[i].as_py(), "<i8") for n in ("ids", "values", "q_ids", "q_values"))
+                found = top_of(q_values.reshape(len(q_ids), dim), q_ids, values.reshape(len(ids), dim), ids, k)
+                if found:
+                    a, b, c = zip(*found, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64())], names=["query_id", "vec_id", "score"])
+
+    found = pairs.select("dim", "ids", "values", "q_ids", "q_values").mapInArrow(run, "query_id long, vec_id long, score long")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
