@@ -20,8 +20,8 @@ _BASE = 0x9E3779B97F4A7C15  # odd, so invertible modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _POWERS: dict[str, np.ndarray] = {}
 
@@ -59,6 +59,13 @@ class Words:
     low: int  # rows [low, high) of the batch
     high: int
 
+    def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of byte ranges, A-Z lower-cased."""
+        up, down = _powers(len(self.data) + 1)
+        total = np.zeros(len(self.data) + 1, np.uint64)
+        np.cumsum(_BYTE[LOWER[self.data]] * up[: len(self.data)], out=total[1:])
+        return mix((total[end] - total[start]) * down[start], (end - start).astype(np.uint64))
+
     def text(self, row: int, keep: np.ndarray | None = None) -> bytes:
         """The row's words joined by one space; keep selects among them."""
         a, b = self.first[row], self.first[row + 1]
@@ -95,7 +102,7 @@ def words_of(column: pa.Array | pa.ChunkedArray, lower: bool = False, limit: int
         off = offsets[low : high + 1] - offsets[low]
         raw = data[offsets[low] : offsets[high]]
         if lower:
-            raw = _LOWER[raw]
+            raw = LOWER[raw]
         n = len(raw)
         solid = ~_SPACE[raw]
         before = np.zeros(n, bool)

@@ -20,12 +20,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.substring_dedup import deduplicated
+
+    return deduplicated(table(spark, sf_dir, "documents"), window=13)
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from framewright.llm.token_files import token_id_files
 
     return token_id_files(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=1)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.quality import scored, trained
+
+    docs = table(spark, sf_dir, "documents")
+    return scored(docs, trained(docs, table(spark, sf_dir, "labels")), columns=["doc_id"])
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from framewright.llm.warc import archived
 
@@ -60,13 +79,23 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.pii import personal_data
+
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_token_files": op2_token_files,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_quality": op4_quality,
     "op5_warc": op5_warc,
     "op6_packing": op6_packing,
     "op7_url_filter": op7_url_filter,
     "op8_simhash": op8_simhash,
     "op9_topk": op9_topk,
+    "op10_pii": op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -1,0 +1,186 @@
+"""Exact substring dedup on word windows by level-wise doubling.
+
+Level one finds repeated runs of ``ceil(window / 2)`` words.  Of those only
+one per window is looked up: the window's minimizer, the run of least hash in
+it, which equal windows share.  Windows whose run occurs in one document alone
+are done; the others are extended to twice that length, the window itself
+(``window`` words at most), and looked up whole.  ``doubled`` goes on from
+there: windows that are repeated at one length alone are extended to twice
+that length, until no candidates survive.
+
+Hashes are 64 bits, built by doubling from word hashes.  Counting is a hash
+aggregate with partial sums, and a document's windows meet the counts in a
+join, whose hot keys Spark can split.
+"""
+
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from framewright.llm._text import Words, grams, mix, sliding_argmin, words_of
+
+WINDOW = 13
+NO_ID = -(2**63)  # stands for a null document id, which repeats nothing
+
+
+def _windows(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, row, hash) of all windows of ``window`` words."""
+    hashes = grams(words.hash, window)
+    n = len(hashes)
+    start = np.flatnonzero(words.row[:n] == words.row[window - 1 : window - 1 + n])
+    return start, words.row[start], hashes[start]
+
+
+def _anchors(words: Words, window: int, start: np.ndarray) -> np.ndarray:
+    """For each window the hash of its minimizer."""
+    k = (window + 1) // 2
+    runs = grams(words.hash, k)
+    return runs[sliding_argmin(runs, window - k + 1)[start]]
+
+
+def _pairs(a: np.ndarray, d: np.ndarray, names: tuple[str, str]) -> pa.RecordBatch:
+    """Distinct pairs."""
+    order = np.argsort(mix(a, d.view(np.uint64)), kind="stable")
+    a, d = a[order], d[order]
+    fresh = np.ones(len(a), bool)
+    fresh[1:] = (a[1:] != a[:-1]) | (d[1:] != d[:-1])
+    return pa.RecordBatch.from_arrays([pa.array(a[fresh].view(np.int64)), pa.array(d[fresh])], names=list(names))
+
+
+def _anchor_rows(window: int):
+    def run(batches):
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for words in words_of(batch.column(1)):
+                start, row, _ = _windows(words, window)
+                if len(start):
+                    found = _anchors(words, window, start)
+                    first = np.ones(len(found), bool)
+                    first[1:] = (found[1:] != found[:-1]) | (row[1:] != row[:-1])
+                    yield _pairs(found[first], ids[words.low + row[first]], ("a", "d"))
+
+    return run
+
+
+def _lists(column: pa.Array, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, value) of the entries of a list column's rows [low, high)."""
+    part = column.slice(low, high - low)
+    return pa.compute.list_parent_indices(part).to_numpy(), part.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def _window_rows(window: int):
+    """Windows whose minimizer is among the row's repeated ones."""
+
+    def run(batches):
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for words in words_of(batch.column(1)):
+                start, row, hashes = _windows(words, window)
+                if not len(start):
+                    continue
+                at, known = _lists(batch.column(2), words.low, words.high)
+                keep = np.isin(mix(_anchors(words, window, start), row.astype(np.uint64)), mix(known, at.astype(np.uint64)))
+                if keep.any():
+                    yield _pairs(hashes[keep], ids[words.low + row[keep]], ("w", "d"))
+
+    return run
+
+
+def _repeated(rows: DataFrame, key: str) -> DataFrame:
+    """(key, m): values found in two documents or more, with the least."""
+    return rows.groupBy(key).agg(F.min("d").alias("m"), F.max("d").alias("x")).where("m < x").select(key, "m")
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("d"), F.col(text_col).alias("t"))
+
+
+def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(w, d, m): hash of a window, a document that holds it, and the least
+    document that does; for windows of two documents or more."""
+    if window < 2:
+        raise ValueError("window must be 2 or more")
+    texts = _texts(docs, id_col, text_col)
+    anchors = texts.where(F.col("d") != NO_ID).mapInArrow(_anchor_rows(window), "a long, d long")
+    again = anchors.join(_repeated(anchors, "a").select("a"), "a").groupBy("d").agg(F.collect_list("a").alias("known"))
+    windows = texts.join(again, "d").select("d", "t", "known").mapInArrow(_window_rows(window), "w long, d long")
+    return windows.join(_repeated(windows, "w"), "w")
+
+
+def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """One row per row: doc_id, n_words, n_removed, kept_sha256 and, if
+    ``keep_text``, text (the kept words joined by one space).
+
+    A word goes if a window of ``window`` words that covers it also starts in
+    a document with a smaller id.  A null or empty text, or one of fewer words
+    than the window, loses nothing.  Rows with a null id lose nothing and make
+    others lose nothing.  Rows of one id don't remove each other's words.
+    """
+    texts = _texts(docs, id_col, text_col)
+    gone = repeated_windows(docs, window, id_col, text_col).where("d > m").groupBy("d").agg(F.collect_list("w").alias("gone"))
+    joined = texts.join(gone, "d", "left").select("d", "t", "gone")
+
+    def run(batches):
+        for batch in batches:
+            ids = batch.column(0)
+            lists = batch.column(2)
+            for words in words_of(batch.column(1)):
+                lost = np.zeros(len(words.start) + 1, np.int64)
+                at, known = _lists(lists, words.low, words.high)
+                if len(known):
+                    start, row, hashes = _windows(words, window)
+                    found = start[np.isin(mix(hashes, row.astype(np.uint64)), mix(known, at.astype(np.uint64)))]
+                    lost[found] += 1
+                    np.subtract.at(lost, np.minimum(found + window, len(lost) - 1), 1)
+                kept = np.cumsum(lost)[:-1] == 0
+                rows = words.high - words.low
+                n = np.diff(words.first)
+                left = np.add.reduceat(np.append(kept, False).astype(np.int64), words.first[:-1]) * (n > 0) if rows else n
+                lines = [words.text(i, None if left[i] == n[i] else kept[words.first[i] : words.first[i + 1]]) for i in range(rows)]
+                part = ids.slice(words.low, rows)
+                out = [pa.compute.if_else(pa.compute.equal(part, NO_ID), pa.scalar(None, pa.int64()), part), pa.array(n), pa.array(n - left), pa.array([hashlib.sha256(x).hexdigest() for x in lines])]
+                if keep_text:
+                    out.append(pa.array([x.decode("utf-8", "replace") for x in lines]))
+                yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_words", "n_removed", "kept_sha256", "text"][: len(out)])
+
+    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * keep_text)
+
+
+def doubled(docs: DataFrame, window: int = WINDOW, levels: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, longest): for each document with a window of ``window`` words
+    that occurs in another, the greatest length window * 2**j at which it
+    still has one.  Level by level: of the windows of twice the length only
+    those are looked up whose two halves are repeated."""
+    from framewright.llm._shared import stored
+
+    now = stored(repeated_windows(docs, window, id_col, text_col).select("w", "d"), "windows")
+    best = now.select("d").distinct().withColumn("n", F.lit(window))
+    texts, size = _texts(docs, id_col, text_col), window
+    for _ in range(levels):
+        halves = now.groupBy("d").agg(F.collect_list("w").alias("known"))
+
+        def longer(batches, size=size):
+            for batch in batches:
+                ids = batch.column(0).to_numpy(zero_copy_only=False)
+                for words in words_of(batch.column(1)):
+                    start, row, hashes = _windows(words, size)
+                    at, known = _lists(batch.column(2), words.low, words.high)
+                    hit = np.zeros(len(words.start) + size + 1, bool)
+                    hit[start] = np.isin(mix(hashes, row.astype(np.uint64)), mix(known, at.astype(np.uint64)))
+                    begin, row, whole = _windows(words, 2 * size)
+                    both = hit[begin] & hit[begin + size]
+                    if both.any():
+                        yield _pairs(whole[both], ids[words.low + row[both]], ("w", "d"))
+
+        found = stored(texts.join(halves, "d").select("d", "t", "known").mapInArrow(longer, "w long, d long"), "windows")
+        now = stored(found.join(_repeated(found, "w").select("w"), "w"), "windows")
+        if now.isEmpty():
+            break
+        size *= 2
+        best = best.union(now.select("d").distinct().withColumn("n", F.lit(size)))
+    return best.groupBy(F.col("d").alias("doc_id")).agg(F.max("n").cast("long").alias("longest"))
