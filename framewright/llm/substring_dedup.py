@@ -44,8 +44,8 @@ def _anchors(words: Words, window: int, start: np.ndarray) -> np.ndarray:
 
 
 def _pairs(a: np.ndarray, d: np.ndarray, names: tuple[str, str]) -> pa.RecordBatch:
-    """Distinct pairs."""
-    order = np.argsort(mix(a, d.view(np.uint64)), kind="stable")
+    """Distinct pairs, by document."""
+    order = np.lexsort((a, d))
     a, d = a[order], d[order]
     fresh = np.ones(len(a), bool)
     fresh[1:] = (a[1:] != a[:-1]) | (d[1:] != d[:-1])
@@ -100,13 +100,23 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("d"), F.col(text_col).alias("t"))
 
 
+def copies(texts: DataFrame) -> DataFrame:
+    """(d, copy): documents whose whole text a document with a smaller id has.
+    All their windows start there too, so none of them needs looking up."""
+    marks = texts.where(F.col("t").isNotNull() & (F.col("d") != NO_ID)).select("d", F.md5("t").alias("k"))
+    least = marks.groupBy("k").agg(F.min("d").alias("m"), F.max("d").alias("x")).where("m < x").select("k", "m")
+    return marks.join(least, "k").where("d > m").select("d").distinct().withColumn("copy", F.lit(True))
+
+
 def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(w, d, m): hash of a window, a document that holds it, and the least
-    document that does; for windows of two documents or more."""
+    document that does; for windows of two documents or more, whole copies of
+    a document left out."""
     if window < 2:
         raise ValueError("window must be 2 or more")
     texts = _texts(docs, id_col, text_col)
-    anchors = texts.where(F.col("d") != NO_ID).mapInArrow(_anchor_rows(window), "a long, d long")
+    fresh = texts.join(copies(texts), "d", "left").where(F.col("copy").isNull() & (F.col("d") != NO_ID)).select("d", "t")
+    anchors = fresh.mapInArrow(_anchor_rows(window), "a long, d long")
     again = anchors.join(_repeated(anchors, "a").select("a"), "a").groupBy("d").agg(F.collect_list("a").alias("known"))
     windows = texts.join(again, "d").select("d", "t", "known").mapInArrow(_window_rows(window), "w long, d long")
     return windows.join(_repeated(windows, "w"), "w")
@@ -123,7 +133,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     """
     texts = _texts(docs, id_col, text_col)
     gone = repeated_windows(docs, window, id_col, text_col).where("d > m").groupBy("d").agg(F.collect_list("w").alias("gone"))
-    joined = texts.join(gone, "d", "left").select("d", "t", "gone")
+    joined = texts.join(gone, "d", "left").join(copies(texts), "d", "left").select("d", "t", "gone", "copy")
 
     def run(batches):
         for batch in batches:
@@ -140,6 +150,8 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                 kept = np.cumsum(lost)[:-1] == 0
                 rows = words.high - words.low
                 n = np.diff(words.first)
+                whole = batch.column(3).slice(words.low, rows).is_valid().to_numpy(zero_copy_only=False) & (n >= window)
+                kept &= ~whole[words.row]
                 left = np.add.reduceat(np.append(kept, False).astype(np.int64), words.first[:-1]) * (n > 0) if rows else n
                 lines = [words.text(i, None if left[i] == n[i] else kept[words.first[i] : words.first[i + 1]]) for i in range(rows)]
                 part = ids.slice(words.low, rows)
@@ -154,7 +166,8 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
 def doubled(docs: DataFrame, window: int = WINDOW, levels: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, longest): for each document with a window of ``window`` words
     that occurs in another, the greatest length window * 2**j at which it
-    still has one.  Level by level: of the windows of twice the length only
+    still has one.  Whole copies of a document with a smaller id are left out.
+    Level by level: of the windows of twice the length only
     those are looked up whose two halves are repeated."""
     from framewright.llm._shared import stored
 
