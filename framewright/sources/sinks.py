@@ -1,0 +1,31 @@
+"""Writers.  Products are partitioned by episode and replaced by partition, so
+a stage that runs twice leaves one copy; progress is read from what is there."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+
+def write_product(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("episode_idx").parquet(path)
+
+
+def read_product(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What is there, or nothing."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
+def done_frames(spark: SparkSession, path: str) -> DataFrame:
+    """Frames with a result, empty ones too, but not failed ones."""
+    keys = "episode_idx long, frame_idx long, status string"
+    rows = read_product(spark, path, keys)
+    return rows.where(F.col("status") != "failed").select(F.col("episode_idx").cast("long"), "frame_idx").distinct()
+
+
+def write_jsonl(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").json(path)

@@ -1,0 +1,104 @@
+import math
+import os
+
+import pytest
+
+from framewright.config import PipelineConfig, SamplingConfig
+from framewright.functions import codecs, discovery
+from framewright.operators import frames as ops
+from framewright.operators import sampling
+from pyspark.sql import functions as F
+
+
+def test_queries_match_sql(spark, sf):
+    import duckdb
+
+    from framewright.plans import catalog
+
+    db = duckdb.connect()
+    for f in os.listdir(sf):
+        db.sql(f"create view {f[:-8]} as select * from '{sf}/{f}'")
+    for name, sql in catalog.ORACLE_SQL.items():
+        got = catalog.QUERIES[name](spark, sf)
+        columns = sorted(got.columns)
+        ours = sorted(map(repr, map(tuple, got.select(*columns).collect())))
+        theirs = sorted(map(repr, db.sql("select " + ",".join(columns) + f" from ({sql})").fetchall()))
+        assert ours == theirs, name
+
+
+@pytest.mark.parametrize("length", [0, 1, 2, 10, 1081])
+def test_uniform(spark, length):
+    for n in (0, 1, 2, length, length + 5):
+        got = spark.range(1).select(sampling.uniform_indices(F.lit(length).cast("long"), n).alias("x")).first().x
+        k = min(n, length)
+        want = None if k == 0 else sorted({0 if k == 1 else (length - 1 if i == k - 1 else math.floor(i * ((length - 1) / (k - 1)))) for i in range(k)})
+        assert got == want
+    with pytest.raises(ValueError):
+        sampling.uniform_indices(F.lit(1), -1)
+
+
+def test_subtask_aware(spark):
+    rows = [(1, i, "a" if i < 4 or i > 8 else "b") for i in range(12)] + [(2, 0, None), (2, 1, "a")]
+    frames = spark.createDataFrame(rows, "episode_idx long, frame_idx long, subtask string")
+    got = sampling.subtask_aware(frames, 3)
+    assert [r.frame_idx for r in got.where("selected and episode_idx = 1").orderBy("frame_idx").collect()] == [0, 3, 4, 7, 8, 9, 11]
+    assert {r.status for r in got.where("episode_idx = 2").collect()} == {"missing_subtask"}
+    assert [r.frame_idx for r in sampling.subtask_aware(frames, 3, False).where("selected").orderBy("frame_idx").collect()] == [0, 3, 4, 7, 9]
+
+
+def test_long_phrase(spark):
+    text = "the " + " ".join(["word"] * 20_000) + ", the cup"
+    found = spark.createDataFrame([(text,)], "t string").select(discovery.the_phrases(F.col("t")).alias("p")).first().p
+    assert [len(p.split()) for p in found] == [20_000, 1]
+
+
+def test_response(spark):
+    reply = '```json\n["The blue basket", "green bottle", "green bottle", "object", "a thing", 5]\n```'
+    rows = [(reply,), ("no list here",), ('{"a": 1}',)]
+    got = [r.x for r in spark.createDataFrame(rows, "t string").select(discovery.response_labels(F.col("t")).alias("x")).collect()]
+    assert got == [["blue basket", "green bottle"], None, None]
+
+
+def test_codecs():
+    for counts in ([0, 5, 3], [64], [7, 1, 200, 3, 5000, 2]):
+        assert codecs.unpack_runs(codecs.pack_runs(counts)) == counts
+    values = [0, 1, 65535, 256, 7, 9]
+    assert codecs.read_png16(codecs.png16(values, 3, 2)) == (values, 3, 2)
+
+
+def test_config():
+    with pytest.raises(ValueError):
+        SamplingConfig(mode="subtask_aware")
+    with pytest.raises(ValueError):
+        PipelineConfig(stage="all")
+    assert SamplingConfig(mode="subtask_aware", stride_seconds=0.5, fps=5).stride() == 2
+
+
+def test_run_resumes(spark, tmp_path):
+    from framewright.plans.annotate import quality_frames, run
+
+    config = PipelineConfig(output_dir=str(tmp_path / "out"))
+    first = run(spark, config)
+    assert {(r.processed, r.failed) for r in first.collect()} == {(10, 0)}
+    n = spark.read.parquet(f"{tmp_path}/out/masks").count()
+    run(spark, config)
+    assert spark.read.parquet(f"{tmp_path}/out/masks").count() == n
+    assert quality_frames(spark, config, 2).count() == 6
+
+
+def test_dataset(spark, tmp_path):
+    from framewright.plans.annotate import planned
+
+    root = str(tmp_path)
+    spark.createDataFrame([(0, 4, 0, 0, "Take the Red cup"), (1, 3, 0, 0, " ")], "episode_index long, length long, `data/chunk_index` long, `data/file_index` long, expand_task string").coalesce(1).toPandas().to_parquet(_made(tmp_path, "meta/episodes/chunk-000/file-000.parquet"))
+    spark.createDataFrame([(0, 1, 0.5, 9), (0, 9, 1.0, 9), (1, 0, 0.0, 8)], "episode_index long, frame_index long, timestamp double, subtask_index long").toPandas().to_parquet(_made(tmp_path, "data/chunk-000/file-000.parquet"))
+    spark.createDataFrame([(9, "pick", "pick up", False)], "subtask_index long, atomic_skill string, subtask string, has_regrasp boolean").toPandas().to_parquet(_made(tmp_path, "meta/subtask.parquet"))
+    episodes, frames = planned(spark, PipelineConfig(dataset_path=root))
+    assert {r.episode_idx: r.queries for r in episodes.collect()} == {0: ["cup", "red cup"], 1: ["task"]}
+    rows = {(r.episode_idx, r.frame_idx): (r.subtask_index, r.subtask) for r in ops.manifest(frames).collect()}
+    assert len(rows) == 7 and rows[0, 1] == (9, "pick up") and rows[1, 0] == (8, "") and rows[0, 0] == (None, "")
+
+
+def _made(root, name):
+    (root / name).parent.mkdir(parents=True, exist_ok=True)
+    return str(root / name)
