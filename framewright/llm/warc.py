@@ -162,14 +162,14 @@ class Salvage:
     def _next(self, offset: int) -> int:
         """Where the next whole member or version line begins, or the end."""
         while offset < self.size:
-            data = self._at(offset, READ_BYTES)
-            marks = sorted({m.start() for m in re.finditer(re.escape(MEMBER), data)} | {m.start() + 1 for m in re.finditer(rb"\nWARC/[0-9]\.[0-9]\r?\n", data)})
+            data, base = self._at(offset - 1, READ_BYTES), offset - 1  # with the byte before, for a line's begin
+            marks = sorted({m.start() for m in re.finditer(re.escape(MEMBER), data) if m.start()} | {m.start() + 1 for m in re.finditer(rb"\nWARC/[0-9]\.[0-9]\r?\n", data)})
             for mark in marks:
-                if self._at(offset + mark, 3) != MEMBER:
-                    return offset + mark
+                if self._at(base + mark, 3) != MEMBER:
+                    return base + mark
                 try:
-                    if VERSION.match(self._inflate(offset + mark, 16)[0]):
-                        return offset + mark
+                    if VERSION.match(self._inflate(base + mark, 16)[0]):
+                        return base + mark
                 except (ValueError, zlib.error):
                     pass
             if len(data) < READ_BYTES:
