@@ -1,10 +1,10 @@
 """Exact substring dedup on word windows by level-wise doubling.
 
-Level one finds repeated runs of ``ceil(window / 2)`` words.  Of those only
-one per window is looked up: the window's minimizer, the run of least hash in
-it, which equal windows share.  Windows whose run occurs in one document alone
-are done; the others are extended to twice that length, the window itself
-(``window`` words at most), and looked up whole.  ``doubled`` goes on from
+Level one finds repeated runs of a quarter of the window (4 words of 13).  Of
+those only one per window is looked up: the window's minimizer, the run of
+least hash in it, which equal windows share.  Windows whose run occurs in one
+document alone are done; the others are extended, twice doubled, to the window
+(``window`` words at most) and looked up whole.  ``doubled`` goes on from
 there: windows that are repeated at one length alone are extended to twice
 that length, until no candidates survive.
 
@@ -38,7 +38,7 @@ def _windows(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 def _anchors(words: Words, window: int, start: np.ndarray) -> np.ndarray:
     """For each window the hash of its minimizer."""
-    k = (window + 1) // 2
+    k = (window + 3) // 4
     runs = grams(words.hash, k)
     return runs[sliding_argmin(runs, window - k + 1)[start]]
 
@@ -58,6 +58,8 @@ def _anchor_rows(window: int):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for words in words_of(batch.column(1)):
                 start, row, _ = _windows(words, window)
+                known = ids[words.low + row] != NO_ID
+                start, row = start[known], row[known]
                 if len(start):
                     found = _anchors(words, window, start)
                     first = np.ones(len(found), bool)
@@ -81,9 +83,9 @@ def _window_rows(window: int):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for words in words_of(batch.column(1)):
                 start, row, hashes = _windows(words, window)
-                if not len(start):
-                    continue
                 at, known = _lists(batch.column(2), words.low, words.high)
+                if not len(start) or not len(known):
+                    continue
                 keep = np.isin(mix(_anchors(words, window, start), row.astype(np.uint64)), mix(known, at.astype(np.uint64)))
                 if keep.any():
                     yield _pairs(hashes[keep], ids[words.low + row[keep]], ("w", "d"))
@@ -115,10 +117,11 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     if window < 2:
         raise ValueError("window must be 2 or more")
     texts = _texts(docs, id_col, text_col)
-    fresh = texts.join(copies(texts), "d", "left").where(F.col("copy").isNull() & (F.col("d") != NO_ID)).select("d", "t")
+    # left joins without a filter on the texts, so that all share one shuffle of them
+    fresh = texts.join(copies(texts), "d", "left").where("copy is null").select("d", "t")
     anchors = fresh.mapInArrow(_anchor_rows(window), "a long, d long")
     again = anchors.join(_repeated(anchors, "a").select("a"), "a").groupBy("d").agg(F.collect_list("a").alias("known"))
-    windows = texts.join(again, "d").select("d", "t", "known").mapInArrow(_window_rows(window), "w long, d long")
+    windows = texts.join(again, "d", "left").select("d", "t", "known").mapInArrow(_window_rows(window), "w long, d long")
     return windows.join(_repeated(windows, "w"), "w")
 
 
