@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 from framewright.llm._text import LOWER as _LOWER
 from framewright.llm._text import mix, words_of
 
-LABELLED = 8_000
-POOL = 4_000
+LABELLED = 6_000
+POOL = 3_000
 BITS = 18
 ROUNDS = 3
 CONFIDENT = 0.98
@@ -164,8 +164,8 @@ class _Rows:
     def __init__(self, rows: list):
         self.n = len(rows)
         sizes = [len(r["f"]) // 4 for r in rows]
-        self.row = np.repeat(np.arange(self.n), sizes)
-        self.bucket = np.frombuffer(b"".join(bytes(r["f"]) for r in rows), "<i4").astype(np.int64)
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
+        self.bucket = np.frombuffer(b"".join(bytes(r["f"]) for r in rows), "<i4")
         self.dense = np.array([r["d"] for r in rows], float).reshape(-1, 6)
         self.meta = np.array([r["m"] for r in rows], np.int64).reshape(-1, 3)
 
