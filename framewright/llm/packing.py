@@ -1,11 +1,13 @@
 """Mixture-controlled packing: every window of ``window`` tokens takes its
 sources' target shares by deficit round-robin.
 
-Texts are encoded once into a table in the shared folder.  The token counts of
-(carry group, source) over all documents give the target shares, unless they
-are given, and the deficits with which each group begins: what its sources
-were owed and did not get in all groups before it.  Then each task packs what
-it reads: per source a queue, per window a credit of share * window tokens for
+Texts are encoded once into a table in the shared folder.  Its rows are dealt
+to groups of about ``GROUP`` windows by the running token position within their
+sources, in a random order, and read in that order, so that each group holds
+every source in its share all along, however the input is clustered.  The token counts of (group, source) over all documents
+give the target shares, unless they are given, and the deficits with which each
+group begins: what its sources were owed and did not get in all groups before
+it.  Then each group is packed by itself: per source a queue, per window a credit of share * window tokens for
 each source on top of its deficit; a source that has too little carries the
 rest to the next windows, and what it leaves goes to those that have more.
 Documents are cut where a credit or a window ends.
@@ -19,14 +21,14 @@ from collections import deque
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.llm._shared import stored
 from framewright.llm._tokens import word_encoder
 
 WINDOW = 4096
-CARRY_GROUPS = 1024  # at most so many places where deficits are handed on
+GROUP = 1024  # windows' worth of tokens packed in one go, on average
 SOURCES = 1000  # at most so many queues; rarer sources share one
 AHEAD = 64  # windows' worth of tokens that a task holds back to mix from
 
@@ -34,13 +36,14 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """(part, doc_id, source, n_tokens, ids): ids as the narrowest unsigned
+    """(part, doc_id, source, n_tokens, ids, row): row counts a part's rows, ids as the narrowest unsigned
     integers that hold the vocabulary."""
 
     def encode(batches):
         part = TaskContext.get().partitionId()
         encoder = word_encoder(tokenizer)
         wide = max(encoder.dtype.itemsize, 2 if end_id < 1 << 16 else 4)
+        row = 0
         for batch in batches:
             for low, offsets, ids in encoder.encode(batch.column(2)):
                 n = len(offsets) - 1
@@ -48,12 +51,13 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col:
                 ends = (offsets + np.arange(n + 1)) * wide
                 blob = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends.astype("<i8")), pa.py_buffer(ids.tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, part)), batch.column(0).slice(low, n), batch.column(1).slice(low, n), pa.array(np.diff(ends) // wide), blob.cast(pa.binary())],
-                    names=["part", "doc_id", "source", "n_tokens", "ids"],
+                    [pa.array(np.full(n, part)), batch.column(0).slice(low, n), batch.column(1).slice(low, n), pa.array(np.diff(ends) // wide), blob.cast(pa.binary()), pa.array(np.arange(row, row + n))],
+                    names=["part", "doc_id", "source", "n_tokens", "ids", "row"],
                 )
+                row += n
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(source_col).cast("string"), F.col(text_col))
-    return stored(rows.mapInArrow(encode, "part long, doc_id long, source string, n_tokens long, ids binary"), "packing")
+    return stored(rows.mapInArrow(encode, "part long, doc_id long, source string, n_tokens long, ids binary, row long"), "packing")
 
 
 class Mixer:
@@ -109,12 +113,27 @@ class Mixer:
         return pieces
 
 
-def mixture(table: DataFrame, shares: dict[str, float] | None) -> tuple[dict[str, float], list[dict[str, float]], int]:
-    """Target shares, the deficits each carry group begins with, and the parts
-    to a group.  Bounds: SOURCES shares, CARRY_GROUPS * SOURCES deficits."""
-    top = table.agg(F.max("part")).first()[0]
-    step = (top or 0) // CARRY_GROUPS + 1
-    sums = table.groupBy((F.col("part") / step).cast("long").alias("g"), F.coalesce("source", F.lit("")).alias("s")).agg(F.sum("n_tokens").alias("n"))
+def dealt(table: DataFrame, window: int) -> DataFrame:
+    """The table with each row's place ``h``, from 0 to 1: the share of its
+    source's tokens that go before it in a random order; and its group ``g``,
+    a range of places.  A source's order is cut into slices, so that no task
+    has a source to itself."""
+    tokens = table.agg(F.sum("n_tokens")).first()[0] or 0
+    groups = max(1, round(tokens / (GROUP * window)))
+    keyed = table.withColumn("s", F.coalesce("source", F.lit(""))).withColumn("r", F.xxhash64("part", "row"))
+    keyed = keyed.withColumn("b", F.pmod("r", F.lit(max(16, groups))))
+    of_source = Window.partitionBy("s")
+    before = F.sum("n").over(of_source.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
+    slices = keyed.groupBy("s", "b").agg(F.sum("n_tokens").alias("n")).select("s", "b", before.alias("before"), F.sum("n").over(of_source).alias("whole"))
+    within = F.sum("n_tokens").over(Window.partitionBy("s", "b").orderBy("r", "part", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = keyed.join(slices, ["s", "b"]).withColumn("h", (F.col("before") + within - F.col("n_tokens")) / F.col("whole"))
+    return placed.withColumn("g", F.least(F.floor(F.col("h") * groups), F.lit(groups - 1))).drop("s", "b", "r", "before", "whole")
+
+
+def mixture(table: DataFrame, shares: dict[str, float] | None) -> tuple[dict[str, float], list[dict[str, float]]]:
+    """Target shares and the deficits each group begins with: groups * SOURCES
+    of them at most."""
+    sums = table.groupBy("g", F.coalesce("source", F.lit("")).alias("s")).agg(F.sum("n_tokens").alias("n"))
     ranked = sums.groupBy("s").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "s").limit(SOURCES - 1).collect()
     named = {r["s"] for r in ranked}
     if shares is None:
@@ -127,7 +146,7 @@ def mixture(table: DataFrame, shares: dict[str, float] | None) -> tuple[dict[str
         named = set(shares)
     name = F.when(F.col("s").isin(sorted(named)), F.col("s")).otherwise(OTHER)
     rows = sums.groupBy("g", name.alias("s")).agg(F.sum("n").alias("n")).collect()
-    counts: list[dict[str, int]] = [{} for _ in range((top or 0) // step + 1)]
+    counts: list[dict[str, int]] = [{} for _ in range(1 + max((r["g"] for r in rows), default=0))]
     for r in rows:
         counts[r["g"]][r["s"]] = r["n"]
     owed, begins = dict.fromkeys(shares, 0.0), []
@@ -136,7 +155,7 @@ def mixture(table: DataFrame, shares: dict[str, float] | None) -> tuple[dict[str
         whole = sum(group.values())
         for s, share in shares.items():
             owed[s] += share * whole - group.get(s, 0)
-    return shares, begins, step
+    return shares, begins
 
 
 OTHER = "\0other"
@@ -161,33 +180,36 @@ def packed(
     end id alone.  A null source is the source "".  Null and repeated document
     ids are packed row by row like others.  ``shares`` maps sources to target
     shares of tokens (None: the corpus's own); sources it lacks wait until
-    others run dry.  An empty table gives no rows.  Every task ends with at
+    others run dry.  An empty table gives no rows.  Every group ends with at
     most one sequence that is not full.
     """
     if window < 1:
         raise ValueError("window must be positive")
-    table = encoded(docs, tokenizer, end_id, id_col, text_col, source_col)
-    targets, begins, step = mixture(table, shares)
+    table = dealt(encoded(docs, tokenizer, end_id, id_col, text_col, source_col), window)
+    targets, begins = mixture(table, shares)
 
     def pack(batches):
         number = TaskContext.get().partitionId() << 33
-        mixer = None
+        mixer, group = None, None
+        out: list[tuple] = []
         for batch in batches:
-            part, doc_id, source, count = (batch.column(i).to_pylist() for i in range(4))
+            place, doc_id, source, count = (batch.column(i).to_pylist() for i in range(4))
             blobs = batch.column(4)
             for i in range(batch.num_rows):
-                if mixer is None:
-                    mixer = Mixer(targets, begins[part[i] // step], window)
+                if place[i] != group:
+                    while mixer is not None and mixer.total:
+                        number = _window(mixer, number, out)
+                    mixer, group = Mixer(targets, begins[place[i]], window), place[i]
                 blob = blobs[i].as_buffer()
                 ids = np.frombuffer(blob, f"<u{len(blob) // count[i]}")
                 s = source[i] or ""
                 mixer.add(s if s in targets else OTHER, ((doc_id[i], source[i]), ids))
                 if mixer.total >= 2 * AHEAD * window:
-                    out: list[tuple] = []
                     while mixer.total >= AHEAD * window:
                         number = _window(mixer, number, out)
+                if len(out) > 20_000:
                     yield _pieces(out)
-        out = []
+                    out = []
         while mixer is not None and mixer.total:
             number = _window(mixer, number, out)
             if len(out) > 20_000:
@@ -196,7 +218,8 @@ def packed(
         if out:
             yield _pieces(out)
 
-    return table.mapInArrow(pack, PIECES)
+    rows = table.repartition(len(begins), "g").sortWithinPartitions("g", "h")
+    return rows.select("g", "doc_id", "source", "n_tokens", "ids").mapInArrow(pack, PIECES)
 
 
 def _window(mixer: Mixer, number: int, out: list[tuple]) -> int:
