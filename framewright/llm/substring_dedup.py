@@ -103,11 +103,16 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def copies(texts: DataFrame) -> DataFrame:
-    """(d, copy): documents whose whole text a document with a smaller id has.
-    All their windows start there too, so none of them needs looking up."""
+    """(d, copied): digests of a document's texts that a document with a
+    smaller id has whole.  All their windows start there too, so none of them
+    needs looking up.  An id may have other texts besides."""
     marks = texts.where(F.col("t").isNotNull() & (F.col("d") != NO_ID)).select("d", F.md5("t").alias("k"))
     least = marks.groupBy("k").agg(F.min("d").alias("m"), F.max("d").alias("x")).where("m < x").select("k", "m")
-    return marks.join(least, "k").where("d > m").select("d").distinct().withColumn("copy", F.lit(True))
+    return marks.join(least, "k").where("d > m").groupBy("d").agg(F.collect_set("k").alias("copied"))
+
+
+def _is_copy():
+    return F.coalesce(F.array_contains("copied", F.md5("t")), F.lit(False))
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -118,7 +123,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
         raise ValueError("window must be 2 or more")
     texts = _texts(docs, id_col, text_col)
     # left joins without a filter on the texts, so that all share one shuffle of them
-    fresh = texts.join(copies(texts), "d", "left").where("copy is null").select("d", "t")
+    fresh = texts.join(copies(texts), "d", "left").where(~_is_copy()).select("d", "t")
     anchors = fresh.mapInArrow(_anchor_rows(window), "a long, d long")
     again = anchors.join(_repeated(anchors, "a").select("a"), "a").groupBy("d").agg(F.collect_list("a").alias("known"))
     windows = texts.join(again, "d", "left").select("d", "t", "known").mapInArrow(_window_rows(window), "w long, d long")
@@ -136,7 +141,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     """
     texts = _texts(docs, id_col, text_col)
     gone = repeated_windows(docs, window, id_col, text_col).where("d > m").groupBy("d").agg(F.collect_list("w").alias("gone"))
-    joined = texts.join(gone, "d", "left").join(copies(texts), "d", "left").select("d", "t", "gone", "copy")
+    joined = texts.join(gone, "d", "left").join(copies(texts), "d", "left").select("d", "t", "gone", F.when(_is_copy(), True).alias("copy"))
 
     def run(batches):
         for batch in batches:

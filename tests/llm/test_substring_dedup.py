@@ -42,3 +42,11 @@ def test_doubling_ends(spark):
     long = [f"w{i}" for i in range(50)]
     rows = [(1, " ".join(long)), (2, "q " + " ".join(long[5:30])), (3, "nothing else here")]
     assert {r.doc_id: r.longest for r in doubled(spark.createDataFrame(rows, "doc_id long, text string"), 5).collect()} == {1: 20, 2: 20}
+
+
+def test_one_id_with_a_copied_and_a_unique_text(spark):
+    long = " ".join(f"w{i}" for i in range(40))
+    own = " ".join(f"v{i}" for i in range(40))
+    rows = [(1, long), (2, long), (2, own), (3, own + " z"), (4, "w3 " + own)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, deduplicated(docs, 5).collect()), key=repr) == brute(rows, 5)
