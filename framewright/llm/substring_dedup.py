@@ -3,8 +3,8 @@
 Level one finds repeated runs of a quarter of the window (4 words of 13).  Of
 those only one per window is looked up: the window's minimizer, the run of
 least hash in it, which equal windows share.  Windows whose run occurs in one
-document alone are done; the others are extended, twice doubled, to the window
-(``window`` words at most) and looked up whole.  ``doubled`` goes on from
+document alone are done; the others are looked up whole.  This filter stands
+for the levels below the window, and there is none at 8 words.  ``doubled`` goes on from
 there: windows that are repeated at one length alone are extended to twice
 that length, until no candidates survive.
 
@@ -171,7 +171,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * keep_text)
 
 
-def doubled(docs: DataFrame, window: int = WINDOW, levels: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def doubled(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, longest): for each document with a window of ``window`` words
     that occurs in another, the greatest length window * 2**j at which it
     still has one.  Whole copies of a document with a smaller id are left out.
@@ -182,7 +182,7 @@ def doubled(docs: DataFrame, window: int = WINDOW, levels: int = 16, id_col: str
     now = stored(repeated_windows(docs, window, id_col, text_col).select("w", "d"), "windows")
     best = now.select("d").distinct().withColumn("n", F.lit(window))
     texts, size = _texts(docs, id_col, text_col), window
-    for _ in range(levels):
+    while True:
         halves = now.groupBy("d").agg(F.collect_list("w").alias("known"))
 
         def longer(batches, size=size):

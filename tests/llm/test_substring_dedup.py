@@ -50,3 +50,10 @@ def test_one_id_with_a_copied_and_a_unique_text(spark):
     rows = [(1, long), (2, long), (2, own), (3, own + " z"), (4, "w3 " + own)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(map(tuple, deduplicated(docs, 5).collect()), key=repr) == brute(rows, 5)
+
+
+def test_doubling_goes_on_until_nothing_survives(spark):
+    text = " ".join(f"w{i}" for i in range(1 << 18))
+    rows = [(1, text), (2, text + " x")]
+    got = doubled(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert {r.doc_id: r.longest for r in got} == {1: 1 << 18, 2: 1 << 18}
