@@ -4,13 +4,15 @@ sources' target shares by deficit round-robin.
 Texts are encoded once into a table in the shared folder.  Its rows are dealt
 to groups of about ``GROUP`` windows by the running token position within their
 sources, in a random order, and read in that order, so that each group holds
-every source in its share all along, however the input is clustered.  The token counts of (group, source) over all documents
-give the target shares, unless they are given, and the deficits with which each
-group begins: what its sources were owed and did not get in all groups before
-it.  Then each group is packed by itself: per source a queue, per window a credit of share * window tokens for
-each source on top of its deficit; a source that has too little carries the
-rest to the next windows, and what it leaves goes to those that have more.
-Documents are cut where a credit or a window ends.
+every source in its share all along, however the input is clustered.  The token
+counts of (group, source) over all documents give the target shares, unless
+they are given, and the deficits with which each group begins: what its sources
+were owed and did not get in all groups before it; these go with the group's
+rows.  Then each group is packed by itself: per source a queue, per window a
+credit of share * window tokens for each source on top of its deficit; a source
+that has too little carries the rest to the next windows, and what it leaves
+goes to those that have more.  Documents are cut where a credit or a window
+ends.
 """
 
 from __future__ import annotations
@@ -29,15 +31,17 @@ from framewright.llm._tokens import word_encoder
 
 WINDOW = 4096
 GROUP = 1024  # windows' worth of tokens packed in one go, on average
-SOURCES = 1000  # at most so many queues; rarer sources share one
+SLICES = 16  # of a source's order to a group
+CHUNK = 4096  # rows of a running sum in one task
+BROADCAST_BYTES = 8 << 20
 AHEAD = 64  # windows' worth of tokens that a task holds back to mix from
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """(part, doc_id, source, n_tokens, ids, row): row counts a part's rows, ids as the narrowest unsigned
-    integers that hold the vocabulary."""
+    """(part, doc_id, source, n_tokens, ids, row): row counts a part's rows,
+    ids as the narrowest unsigned integers that hold the vocabulary."""
 
     def encode(batches):
         part = TaskContext.get().partitionId()
@@ -114,51 +118,52 @@ class Mixer:
 
 
 def dealt(table: DataFrame, window: int) -> DataFrame:
-    """The table with each row's place ``h``, from 0 to 1: the share of its
-    source's tokens that go before it in a random order; and its group ``g``,
-    a range of places.  A source's order is cut into slices, so that no task
-    has a source to itself."""
+    """The table with ``s``, its source or "", each row's place ``h``, from 0
+    to 1: the share of its source's tokens that go before it in a random order;
+    and its group ``g``, a range of places.  A source's order is cut into
+    slices by a hash, SLICES to a group; a row's place within its slice is
+    another hash."""
     tokens = table.agg(F.sum("n_tokens")).first()[0] or 0
     groups = max(1, round(tokens / (GROUP * window)))
-    keyed = table.withColumn("s", F.coalesce("source", F.lit(""))).withColumn("r", F.xxhash64("part", "row"))
-    keyed = keyed.withColumn("b", F.pmod("r", F.lit(max(16, groups))))
-    of_source = Window.partitionBy("s")
-    before = F.sum("n").over(of_source.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
-    slices = keyed.groupBy("s", "b").agg(F.sum("n_tokens").alias("n")).select("s", "b", before.alias("before"), F.sum("n").over(of_source).alias("whole"))
-    within = F.sum("n_tokens").over(Window.partitionBy("s", "b").orderBy("r", "part", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = keyed.join(slices, ["s", "b"]).withColumn("h", (F.col("before") + within - F.col("n_tokens")) / F.col("whole"))
-    return placed.withColumn("g", F.least(F.floor(F.col("h") * groups), F.lit(groups - 1))).drop("s", "b", "r", "before", "whole")
-
-
-def mixture(table: DataFrame, shares: dict[str, float] | None) -> tuple[dict[str, float], list[dict[str, float]]]:
-    """Target shares and the deficits each group begins with: groups * SOURCES
-    of them at most."""
-    sums = table.groupBy("g", F.coalesce("source", F.lit("")).alias("s")).agg(F.sum("n_tokens").alias("n"))
-    ranked = sums.groupBy("s").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "s").limit(SOURCES - 1).collect()
-    named = {r["s"] for r in ranked}
+    keyed = table.withColumn("s", F.coalesce("source", F.lit(""))).withColumn("b", F.pmod(F.xxhash64("part", "row"), F.lit(SLICES * groups)))
+    keyed = keyed.withColumn("u", F.pmod(F.xxhash64("row", "part"), F.lit(1 << 20)) / (1 << 20))
+    sums = stored(keyed.groupBy("s", "b").agg(F.sum("n_tokens").alias("n")).withColumn("c", F.floor(F.col("b") / CHUNK)), "slices")
+    places = stored(_running(sums, ["s"], "b").select("s", "b", "n", "before", "whole"), "slices")
+    count, wide = places.agg(F.count("*"), F.max(F.octet_length("s"))).first()
+    small = count * ((wide or 0) + 64) <= BROADCAST_BYTES
+    placed = keyed.join(F.broadcast(places) if small else places, ["s", "b"])
+    placed = placed.withColumn("h", (F.col("before") + F.col("u") * F.col("n")) / F.col("whole"))
+    return placed.withColumn("g", F.least(F.floor(F.col("h") * groups), F.lit(groups - 1))).drop("b", "c", "u", "n", "before", "whole")
+
+
+def _running(sums: DataFrame, by: list[str], order: str) -> DataFrame:
+    """The rows, with ``before``, the sum of ``n`` over the rows before in
+    their order, and ``whole``, over all; in chunks ``c`` of the order, so that
+    no task has more than a chunk of rows, or the sums of the chunks."""
+    chunks = sums.groupBy(*by, "c").agg(F.sum("n").alias("m"))
+    of = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    chunks = chunks.select(*by, "c", (F.sum("m").over(of.orderBy("c")) - F.col("m")).alias("earlier"), F.sum("m").over(of).alias("whole"))
+    within = F.sum("n").over(Window.partitionBy(*by, "c").orderBy(order)) - F.col("n")
+    return sums.withColumn("before", within).join(chunks, [*by, "c"]).withColumn("before", F.col("before") + F.col("earlier"))
+
+
+def mixture(table: DataFrame, shares: dict[str, float] | None) -> DataFrame:
+    """(g, s, share, owed): for each source of each group its target share, and
+    the deficit it begins with, what it was owed and did not get in all groups
+    before."""
+    sums = stored(table.groupBy("s", "g").agg(F.sum("n_tokens").alias("n")).withColumn("c", F.floor(F.col("g") / CHUNK)), "mixture")
+    own = _running(sums, ["s"], "g").select("s", "g", F.col("before").alias("got"), F.col("whole").alias("of_source"))
+    groups = sums.groupBy("g", "c").agg(F.sum("n").alias("n"))
+    groups = _running(groups, [], "g").select("g", F.col("before").alias("all_before"), "whole")
+    rows = own.join(groups, "g")
     if shares is None:
-        total = table.agg(F.sum("n_tokens")).first()[0] or 0
-        shares = {r["s"]: r["n"] / total for r in ranked} if total else {}
-        shares[OTHER] = max(0.0, 1.0 - sum(shares.values()))
+        share = F.col("of_source") / F.col("whole")
     else:
         total = sum(shares.values())
-        shares = {s: x / total for s, x in shares.items()} | {OTHER: 0.0}
-        named = set(shares)
-    name = F.when(F.col("s").isin(sorted(named)), F.col("s")).otherwise(OTHER)
-    rows = sums.groupBy("g", name.alias("s")).agg(F.sum("n").alias("n")).collect()
-    counts: list[dict[str, int]] = [{} for _ in range(1 + max((r["g"] for r in rows), default=0))]
-    for r in rows:
-        counts[r["g"]][r["s"]] = r["n"]
-    owed, begins = dict.fromkeys(shares, 0.0), []
-    for group in counts:
-        begins.append(dict(owed))
-        whole = sum(group.values())
-        for s, share in shares.items():
-            owed[s] += share * whole - group.get(s, 0)
-    return shares, begins
-
-
-OTHER = "\0other"
+        share = F.lit(0.0)
+        for name, x in shares.items():
+            share = F.when(F.col("s") == name, x / total).otherwise(share)
+    return rows.withColumn("share", share).select("g", "s", "share", (F.col("share") * F.col("all_before") - F.col("got")).alias("owed"))
 
 
 def packed(
@@ -186,24 +191,28 @@ def packed(
     if window < 1:
         raise ValueError("window must be positive")
     table = dealt(encoded(docs, tokenizer, end_id, id_col, text_col, source_col), window)
-    targets, begins = mixture(table, shares)
+    terms = mixture(table, shares)
 
     def pack(batches):
-        number = TaskContext.get().partitionId() << 33
-        mixer, group = None, None
+        mixer, group, number = None, None, 0
+        shares, owed = {}, {}
         out: list[tuple] = []
         for batch in batches:
-            place, doc_id, source, count = (batch.column(i).to_pylist() for i in range(4))
-            blobs = batch.column(4)
+            place, name, doc_id, source, count, share, debt = (batch.column(i).to_pylist() for i in range(7))
+            blobs = batch.column(7)
             for i in range(batch.num_rows):
                 if place[i] != group:
                     while mixer is not None and mixer.total:
                         number = _window(mixer, number, out)
-                    mixer, group = Mixer(targets, begins[place[i]], window), place[i]
+                    mixer, group, number = None, place[i], place[i] << 24
+                    shares, owed = {}, {}
+                if share[i] is not None:  # a group's terms come before its documents
+                    shares[name[i]], owed[name[i]] = share[i], debt[i]
+                    continue
+                if mixer is None:
+                    mixer = Mixer(shares, owed, window)
                 blob = blobs[i].as_buffer()
-                ids = np.frombuffer(blob, f"<u{len(blob) // count[i]}")
-                s = source[i] or ""
-                mixer.add(s if s in targets else OTHER, ((doc_id[i], source[i]), ids))
+                mixer.add(name[i], ((doc_id[i], source[i]), np.frombuffer(blob, f"<u{len(blob) // count[i]}")))
                 if mixer.total >= 2 * AHEAD * window:
                     while mixer.total >= AHEAD * window:
                         number = _window(mixer, number, out)
@@ -218,8 +227,11 @@ def packed(
         if out:
             yield _pieces(out)
 
-    rows = table.repartition(len(begins), "g").sortWithinPartitions("g", "h")
-    return rows.select("g", "doc_id", "source", "n_tokens", "ids").mapInArrow(pack, PIECES)
+    none = F.lit(None)
+    rows = table.select("g", "h", "s", "doc_id", "source", "n_tokens", none.cast("double").alias("share"), none.cast("double").alias("owed"), "ids", "part", "row")
+    terms = terms.select("g", F.lit(-1.0).alias("h"), "s", none.cast("long").alias("doc_id"), none.cast("string").alias("source"), F.lit(0).cast("long").alias("n_tokens"), "share", "owed", none.cast("binary").alias("ids"), F.lit(-1).cast("long").alias("part"), F.lit(-1).cast("long").alias("row"))
+    rows = rows.union(terms).repartition("g").sortWithinPartitions("g", "h", "part", "row")
+    return rows.select("g", "s", "doc_id", "source", "n_tokens", "share", "owed", "ids").mapInArrow(pack, PIECES)
 
 
 def _window(mixer: Mixer, number: int, out: list[tuple]) -> int:
