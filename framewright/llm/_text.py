@@ -58,12 +58,16 @@ class Words:
     first: np.ndarray  # rows + 1 entries
     low: int  # rows [low, high) of the batch
     high: int
+    total: np.ndarray  # running sums behind the hashes
+    lower: bool  # whether data is lower-cased
 
     def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of byte ranges, A-Z lower-cased."""
         up, down = _powers(len(self.data) + 1)
-        total = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_BYTE[LOWER[self.data]] * up[: len(self.data)], out=total[1:])
+        total = self.total
+        if not self.lower:
+            total = np.zeros(len(self.data) + 1, np.uint64)
+            np.cumsum(_BYTE[LOWER[self.data]] * up[: len(self.data)], out=total[1:])
         return mix((total[end] - total[start]) * down[start], (end - start).astype(np.uint64))
 
     def text(self, row: int, keep: np.ndarray | None = None) -> bytes:
@@ -120,7 +124,7 @@ def words_of(column: pa.Array | pa.ChunkedArray, lower: bool = False, limit: int
         hashed = mix((total[end] - total[start]) * down[start], (end - start).astype(np.uint64))
         first = np.searchsorted(start, off)
         row = np.repeat(np.arange(high - low), np.diff(first))
-        yield Words(raw, start, end, row, hashed, first, low, high)
+        yield Words(raw, start, end, row, hashed, first, low, high, total, lower)
 
 
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:
