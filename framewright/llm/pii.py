@@ -320,23 +320,23 @@ def trained(docs: list[list[tuple]], steps: int = STEPS) -> Field:
 
 def added(text: str, rows: list[tuple], p: np.ndarray, certain: float = CERTAIN) -> list[tuple[int, int, str]]:
     """The spans that the beliefs of a document's nodes add to its base spans:
-    runs of tokens that the patterns leave alone, as certain as asked for."""
-    found: list[list] = []
+    runs of tokens that the patterns leave alone, each likelier so than not,
+    and one of them as certain as asked for."""
+    found: list[list] = []  # start, end, kind, the greatest certainty of a token
     open_kind = None
     for i, (s, e, label, *_, plain_before, _) in enumerate(rows):
         mass = {k: float(p[i, LABELS.index(k)] + (p[i, LABELS.index(k + "+")] if k in RUNS else 0.0)) for k in ALL_KINDS}
         kind = max(mass, key=mass.get)
-        if label or mass[kind] < certain:
+        a, b = core(text, s, e)
+        if label or mass[kind] < 0.5 or a == b:
             open_kind = None
             continue
-        a, b = core(text, s, e)
-        goes_on = kind == open_kind and kind in RUNS and not plain_before and p[i, LABELS.index(kind + "+")] > p[i, LABELS.index(kind)]
-        if goes_on:
-            found[-1][1] = b
-        elif a < b:
-            found.append([a, b, kind])
+        if kind == open_kind and kind in RUNS and not plain_before and p[i, LABELS.index(kind + "+")] > p[i, LABELS.index(kind)]:
+            found[-1][1], found[-1][3] = b, max(found[-1][3], mass[kind])
+        else:
+            found.append([a, b, kind, mass[kind]])
         open_kind = kind
-    return [tuple(x) for x in found]
+    return [(a, b, kind) for a, b, kind, most in found if most >= certain]
 
 
 def all_spans(texts: list[str], field: Field, certain: float = CERTAIN) -> list[tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]]:
