@@ -70,12 +70,21 @@ class Words:
             np.cumsum(_BYTE[LOWER[self.data]] * up[: len(self.data)], out=total[1:])
         return mix((total[end] - total[start]) * down[start], (end - start).astype(np.uint64))
 
-    def text(self, row: int, keep: np.ndarray | None = None) -> bytes:
-        """The row's words joined by one space; keep selects among them."""
-        a, b = self.first[row], self.first[row + 1]
-        raw, at = self.data, range(a, b) if keep is None else (np.flatnonzero(keep) + a)
-        s, e = self.start, self.end
-        return b" ".join([raw[s[i] : e[i]].tobytes() for i in at])
+    def joined(self, keep: np.ndarray) -> list[memoryview]:
+        """Each row's words for which ``keep`` holds, joined by one space."""
+        start, size = self.start[keep], (self.end - self.start)[keep] + 1
+        stop = np.cumsum(size)
+        n = int(stop[-1]) if len(stop) else 0
+        line = np.full(n, 32, np.uint8)
+        solid = np.ones(n, bool)
+        solid[stop - 1] = False
+        held = ~_SPACE[self.data]
+        held[held] = np.repeat(keep, self.end - self.start)
+        line[solid] = self.data[held]
+        first = np.concatenate([[0], np.cumsum(keep)])[self.first]
+        cuts = np.concatenate([[0], stop])[first].tolist()
+        view = memoryview(line)
+        return [view[a : max(a, b - 1)] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def string_parts(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

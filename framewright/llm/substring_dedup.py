@@ -1,16 +1,16 @@
 """Exact substring dedup on word windows by level-wise doubling.
 
-Level one finds repeated runs of a quarter of the window (4 words of 13).  Of
-those only one per window is looked up: the window's minimizer, the run of
-least hash in it, which equal windows share.  Windows whose run occurs in one
-document alone are done; the others are looked up whole.  This filter stands
-for the levels below the window, and there is none at 8 words.  ``doubled`` goes on from
-there: windows that are repeated at one length alone are extended to twice
-that length, until no candidates survive.
+Level one finds runs of a quarter of the window (4 words of 13) that are
+repeated across documents.  Of the runs in a window only its minimizer counts,
+the one of least hash, which equal windows share: one run a window is shuffled
+instead of all.  Repeated runs alone are extended to twice their length within
+the window (8 words), and what is repeated at that length to the window itself.
+``doubled`` goes on from there, to 26, 52, ... words, until no candidates
+survive.
 
 Hashes are 64 bits, built by doubling from word hashes.  Counting is a hash
-aggregate with partial sums, and a document's windows meet the counts in a
-join, whose hot keys Spark can split.
+aggregate with partial sums, and a document's runs meet the counts in a join,
+whose hot keys Spark can split.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from framewright.llm._text import Words, grams, mix, sliding_argmin, words_of
 
 WINDOW = 13
-NO_ID = -(2**63)  # stands for a null document id, which repeats nothing
+SALTS = 64  # keys that a digest of many copies is dealt over
 
 
 def _windows(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -36,11 +36,22 @@ def _windows(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return start, words.row[start], hashes[start]
 
 
-def _anchors(words: Words, window: int, start: np.ndarray) -> np.ndarray:
-    """For each window the hash of its minimizer."""
+def _extended(words: Words, window: int, start: np.ndarray, size: int) -> np.ndarray:
+    """For each window the hash of its minimizer, a run of a quarter of the
+    window, extended to ``size`` words: forwards while that stays within the
+    window, else backwards."""
     k = (window + 3) // 4
     runs = grams(words.hash, k)
-    return runs[sliding_argmin(runs, window - k + 1)[start]]
+    at = sliding_argmin(runs, window - k + 1)[start]
+    if size == k:
+        return runs[at]
+    return grams(words.hash, size)[np.where(at + size <= start + window, at, at + k - size)]
+
+
+def levels(window: int) -> list[int]:
+    """The lengths below the window: a quarter of it and twice as much."""
+    k = (window + 3) // 4
+    return [k] + [2 * k] * (k < 2 * k < window)
 
 
 def _pairs(a: np.ndarray, d: np.ndarray, names: tuple[str, str]) -> pa.RecordBatch:
@@ -52,43 +63,35 @@ def _pairs(a: np.ndarray, d: np.ndarray, names: tuple[str, str]) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(a[fresh].view(np.int64)), pa.array(d[fresh])], names=list(names))
 
 
-def _anchor_rows(window: int):
-    def run(batches):
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for words in words_of(batch.column(1)):
-                start, row, _ = _windows(words, window)
-                known = ids[words.low + row] != NO_ID
-                start, row = start[known], row[known]
-                if len(start):
-                    found = _anchors(words, window, start)
-                    first = np.ones(len(found), bool)
-                    first[1:] = (found[1:] != found[:-1]) | (row[1:] != row[:-1])
-                    yield _pairs(found[first], ids[words.low + row[first]], ("a", "d"))
-
-    return run
-
-
 def _lists(column: pa.Array, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, value) of the entries of a list column's rows [low, high)."""
     part = column.slice(low, high - low)
     return pa.compute.list_parent_indices(part).to_numpy(), part.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
 
 
-def _window_rows(window: int):
-    """Windows whose minimizer is among the row's repeated ones."""
+def _run_rows(window: int, size: int, known_size: int | None):
+    """(w, d): the runs of ``size`` words of those windows whose runs of
+    ``known_size`` are among the row's repeated ones; all windows, if None."""
 
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for words in words_of(batch.column(1)):
                 start, row, hashes = _windows(words, window)
-                at, known = _lists(batch.column(2), words.low, words.high)
-                if not len(start) or not len(known):
+                if known_size is not None:
+                    at, known = _lists(batch.column(2), words.low, words.high)
+                    if not len(start) or not len(known):
+                        continue
+                    keep = np.isin(mix(_extended(words, window, start, known_size), row.astype(np.uint64)), mix(known, at.astype(np.uint64)))
+                    start, row, hashes = start[keep], row[keep], hashes[keep]
+                if not len(start):
                     continue
-                keep = np.isin(mix(_anchors(words, window, start), row.astype(np.uint64)), mix(known, at.astype(np.uint64)))
-                if keep.any():
-                    yield _pairs(hashes[keep], ids[words.low + row[keep]], ("w", "d"))
+                if size < window:
+                    hashes = _extended(words, window, start, size)
+                    first = np.ones(len(hashes), bool)
+                    first[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
+                    hashes, row = hashes[first], row[first]
+                yield _pairs(hashes, ids[words.low + row], ("w", "d"))
 
     return run
 
@@ -99,16 +102,19 @@ def _repeated(rows: DataFrame, key: str) -> DataFrame:
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("d"), F.col(text_col).alias("t"))
+    """(d, t) of the rows with an id."""
+    return docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t")).where("d is not null")
 
 
 def copies(texts: DataFrame) -> DataFrame:
     """(d, copied): digests of a document's texts that a document with a
     smaller id has whole.  All their windows start there too, so none of them
-    needs looking up.  An id may have other texts besides."""
-    marks = texts.where(F.col("t").isNotNull() & (F.col("d") != NO_ID)).select("d", F.md5("t").alias("k"))
+    needs looking up.  An id may have other texts besides.  A digest's rows
+    are dealt over SALTS keys."""
+    marks = texts.where(F.col("t").isNotNull()).select("d", F.md5("t").alias("k"))
     least = marks.groupBy("k").agg(F.min("d").alias("m"), F.max("d").alias("x")).where("m < x").select("k", "m")
-    return marks.join(least, "k").where("d > m").groupBy("d").agg(F.collect_set("k").alias("copied"))
+    least = least.withColumn("z", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return marks.withColumn("z", F.pmod("d", F.lit(SALTS)).cast("int")).join(least, ["k", "z"]).where("d > m").groupBy("d").agg(F.collect_set("k").alias("copied"))
 
 
 def _is_copy():
@@ -123,10 +129,12 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
         raise ValueError("window must be 2 or more")
     texts = _texts(docs, id_col, text_col)
     # left joins without a filter on the texts, so that all share one shuffle of them
-    fresh = texts.join(copies(texts), "d", "left").where(~_is_copy()).select("d", "t")
-    anchors = fresh.mapInArrow(_anchor_rows(window), "a long, d long")
-    again = anchors.join(_repeated(anchors, "a").select("a"), "a").groupBy("d").agg(F.collect_list("a").alias("known"))
-    windows = texts.join(again, "d", "left").select("d", "t", "known").mapInArrow(_window_rows(window), "w long, d long")
+    rows, below = texts.join(copies(texts), "d", "left").where(~_is_copy()).select("d", "t"), None
+    for size in levels(window):
+        runs = rows.mapInArrow(_run_rows(window, size, below), "w long, d long")
+        known = runs.join(_repeated(runs, "w").select("w"), "w").groupBy("d").agg(F.collect_list("w").alias("known"))
+        rows, below = texts.join(known, "d", "left").select("d", "t", "known"), size
+    windows = rows.mapInArrow(_run_rows(window, window, below), "w long, d long")
     return windows.join(_repeated(windows, "w"), "w")
 
 
@@ -142,33 +150,32 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     texts = _texts(docs, id_col, text_col)
     gone = repeated_windows(docs, window, id_col, text_col).where("d > m").groupBy("d").agg(F.collect_list("w").alias("gone"))
     joined = texts.join(gone, "d", "left").join(copies(texts), "d", "left").select("d", "t", "gone", F.when(_is_copy(), True).alias("copy"))
+    apart = docs.where(F.col(id_col).cast("long").isNull()).select(F.lit(None).cast("long").alias("d"), F.col(text_col).alias("t"), F.array().cast("array<long>").alias("gone"), F.lit(None).cast("boolean").alias("copy"))
+    names = ["doc_id", "n_words", "n_removed", "kept_sha256", "text"][: 4 + keep_text]
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0)
-            lists = batch.column(2)
             for words in words_of(batch.column(1)):
+                low, rows = words.low, words.high - words.low
                 lost = np.zeros(len(words.start) + 1, np.int64)
-                at, known = _lists(lists, words.low, words.high)
+                at, known = _lists(batch.column(2), low, words.high)
                 if len(known):
                     start, row, hashes = _windows(words, window)
                     found = start[np.isin(mix(hashes, row.astype(np.uint64)), mix(known, at.astype(np.uint64)))]
                     lost[found] += 1
                     np.subtract.at(lost, np.minimum(found + window, len(lost) - 1), 1)
                 kept = np.cumsum(lost)[:-1] == 0
-                rows = words.high - words.low
                 n = np.diff(words.first)
-                whole = batch.column(3).slice(words.low, rows).is_valid().to_numpy(zero_copy_only=False) & (n >= window)
+                whole = batch.column(3).slice(low, rows).is_valid().to_numpy(zero_copy_only=False) & (n >= window)
                 kept &= ~whole[words.row]
                 left = np.add.reduceat(np.append(kept, False).astype(np.int64), words.first[:-1]) * (n > 0) if rows else n
-                lines = [words.text(i, None if left[i] == n[i] else kept[words.first[i] : words.first[i + 1]]) for i in range(rows)]
-                part = ids.slice(words.low, rows)
-                out = [pa.compute.if_else(pa.compute.equal(part, NO_ID), pa.scalar(None, pa.int64()), part), pa.array(n), pa.array(n - left), pa.array([hashlib.sha256(x).hexdigest() for x in lines])]
+                lines = words.joined(kept)
+                out = [batch.column(0).slice(low, rows), pa.array(n), pa.array(n - left), pa.array([hashlib.sha256(x).hexdigest() for x in lines])]
                 if keep_text:
-                    out.append(pa.array([x.decode("utf-8", "replace") for x in lines]))
-                yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_words", "n_removed", "kept_sha256", "text"][: len(out)])
+                    out.append(pa.array([bytes(x).decode("utf-8", "replace") for x in lines]))
+                yield pa.RecordBatch.from_arrays(out, names=names)
 
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * keep_text)
+    return joined.union(apart).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * keep_text)
 
 
 def doubled(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
