@@ -7,12 +7,14 @@ import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
+from framewright import ship_to_workers
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which all executors share.  Where
@@ -35,13 +37,63 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+_STORED: list[str] = []
+
+
+def stored(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it: its lineage ends there,
-    and a lost executor costs no recomputation of what went before."""
+    and a lost executor costs no recomputation of what went before.  ``kept``:
+    only ``forget`` by name deletes it."""
     spark = df.sparkSession
     path = work_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if not kept:
+        _STORED.append(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def forget(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete stored tables that nothing will read again; all, if none is named."""
+    paths = [t.stored_at for t in tables] if tables else list(_STORED)
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        if path in _STORED:
+            _STORED.remove(path)
+
+
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
+def prepared(spark: SparkSession) -> None:
+    """Ship the package to the workers, and let Arrow batches of wide rows have
+    some megabytes, unless the session says otherwise than Spark's default."""
+    ship_to_workers(spark)
+    if spark.conf.get(BATCH, None) == "67108864b":
+        spark.conf.set(BATCH, str(BATCH_BYTES))
+
+
+def tidy(run: Callable) -> Callable:
+    """A function for mapInArrow that gives its memory back to the system at
+    the end of a task, as the worker is used again."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+
+            import pyarrow as pa
+
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return tidied
 
 
 def filesystem(uri: str):

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from framewright.llm._shared import stored
+from framewright.llm._shared import stored, tidy
 from framewright.llm._tokens import word_encoder
 
 WINDOW = 4096
@@ -61,7 +61,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col:
                 row += n
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(source_col).cast("string"), F.col(text_col))
-    return stored(rows.mapInArrow(encode, "part long, doc_id long, source string, n_tokens long, ids binary, row long"), "packing")
+    return stored(rows.mapInArrow(tidy(encode), "part long, doc_id long, source string, n_tokens long, ids binary, row long"), "packing")
 
 
 class Mixer:
@@ -231,7 +231,7 @@ def packed(
     rows = table.select("g", "h", "s", "doc_id", "source", "n_tokens", none.cast("double").alias("share"), none.cast("double").alias("owed"), "ids", "part", "row")
     terms = terms.select("g", F.lit(-1.0).alias("h"), "s", none.cast("long").alias("doc_id"), none.cast("string").alias("source"), F.lit(0).cast("long").alias("n_tokens"), "share", "owed", none.cast("binary").alias("ids"), F.lit(-1).cast("long").alias("part"), F.lit(-1).cast("long").alias("row"))
     rows = rows.union(terms).repartition("g").sortWithinPartitions("g", "h", "part", "row")
-    return rows.select("g", "s", "doc_id", "source", "n_tokens", "share", "owed", "ids").mapInArrow(pack, PIECES)
+    return rows.select("g", "s", "doc_id", "source", "n_tokens", "share", "owed", "ids").mapInArrow(tidy(pack), PIECES)
 
 
 def _window(mixer: Mixer, number: int, out: list[tuple]) -> int:

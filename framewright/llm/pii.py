@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framewright.llm._shared import tidy
+
 KINDS = ("email", "ip", "card", "phone")
 ALL_KINDS = (*KINDS, "secret")
 RUNS = ("card", "phone")  # may be of several tokens
@@ -398,7 +400,7 @@ def fitted(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_i
                     out.append([{"l": x, "f": f, "k": k, "b": b, "a": a} for _, _, x, f, k, b, a in nodes])
             yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(out, _NODES)], names=["h", "m"])
 
-    found = rows.select(key.alias("h"), "t").mapInArrow(run, "h long, m array<struct<l:int,f:array<int>,k:array<string>,b:boolean,a:boolean>>")
+    found = rows.select(key.alias("h"), "t").mapInArrow(tidy(run), "h long, m array<struct<l:int,f:array<int>,k:array<string>,b:boolean,a:boolean>>")
     found = sorted(found.orderBy("h").limit(sample_docs).collect(), key=lambda r: (r["h"], repr(r["m"])))
     return trained([[(0, 0, x["l"], x["f"], x["k"], x["b"], x["a"]) for x in r["m"]] for r in found])
 
@@ -434,7 +436,7 @@ def personal_data(docs: DataFrame, field: Field | None = None, id_col: str = "do
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.string() if n in ("base_sha256", "spans") else pa.int64()) for n, x in zip(names, zip(*out, strict=True), strict=True)], names=names)
 
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long"
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(tidy(run), schema)
 
 
 def without_personal_data(docs: DataFrame, field: Field | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -450,4 +452,4 @@ def without_personal_data(docs: DataFrame, field: Field | None = None, id_col: s
                 out += [None if texts[low + i] is None else redacted(part[i], spans) for i, (_, spans) in enumerate(all_spans(part, field))]
             yield batch.set_column(place, batch.schema.field(place), pa.array(out, batch.schema.field(place).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from framewright.llm._shared import tidy
 from framewright.llm._text import LOWER as _LOWER
 from framewright.llm._text import mix, words_of
 
@@ -223,7 +224,7 @@ def _features(rows: DataFrame, extra: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(blobs, pa.binary()), pa.array(dense.tolist(), pa.list_(pa.float64())), pa.array(meta[words.low : words.high].tolist(), pa.list_(pa.int64()))], names=[*extra, "f", "d", "m"])
 
     schema = T.StructType([rows.schema[c] for c in extra] + [T.StructField("f", T.BinaryType()), T.StructField("d", T.ArrayType(T.DoubleType())), T.StructField("m", T.ArrayType(T.LongType()))])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def trained(docs: DataFrame, labels: DataFrame, n_labelled: int = LABELLED, n_pool: int = POOL, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
@@ -274,4 +275,4 @@ def scored(docs: DataFrame, model: Model | None, threshold: float = 0.5, columns
                 yield pa.RecordBatch.from_arrays([*part, pa.array(p["low"]), pa.array(p["toxic"]), pa.array(keep)], names=[*kept, *SCORES])
 
     schema = T.StructType([rows.schema[c] for c in kept] + [T.StructField(SCORES[0], T.DoubleType()), T.StructField(SCORES[1], T.DoubleType()), T.StructField("keep", T.BooleanType())])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright import ship_to_workers
+from framewright.llm._shared import prepared
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -16,7 +16,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship_to_workers(spark)
+    prepared(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

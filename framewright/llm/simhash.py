@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framewright.llm._components import components
-from framewright.llm._shared import stored
+from framewright.llm._shared import stored, tidy
 
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
 PAIRS = ((0, 1), (0, 2), (1, 2))
@@ -100,7 +100,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
                 fp = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], np.uint64).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp)], names=["doc_id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(tidy(run), "doc_id long, fp long")
 
 
 def _keys(fps: DataFrame, near: bool) -> DataFrame:
@@ -121,7 +121,7 @@ def _keys(fps: DataFrame, near: bool) -> DataFrame:
                     key = (np.int64(p) << 24) | (found[a][0][row, i].astype(np.int64) << 12) | found[b][0][row, j]
                     yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[row])], names=["k", "fp"])
 
-    return fps.mapInArrow(run, "k long, fp long")
+    return fps.mapInArrow(tidy(run), "k long, fp long")
 
 
 def links(fps: DataFrame, most: int = MOST) -> DataFrame:

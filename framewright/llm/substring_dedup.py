@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framewright.llm._shared import stored, tidy
 from framewright.llm._text import Words, grams, mix, sliding_argmin, words_of
 
 WINDOW = 13
@@ -216,8 +217,8 @@ def _level(rows: DataFrame, find: Callable, least: bool) -> DataFrame:
         yield from runs.flush()
         yield from texts.flush()
 
-    sent = rows.mapInArrow(run, "b long, kind int, data binary").repartition("b").sortWithinPartitions("b", "kind")
-    return sent.mapInArrow(_answers, "d long, w long").groupBy("d").agg(F.collect_list("w").alias("known"))
+    sent = rows.mapInArrow(tidy(run), "b long, kind int, data binary").repartition("b").sortWithinPartitions("b", "kind")
+    return sent.mapInArrow(tidy(_answers), "d long, w long").groupBy("d").agg(F.collect_list("w").alias("known"))
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -288,7 +289,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                     out.append(pa.array([bytes(x).decode("utf-8", "replace") for x in lines]))
                 yield pa.RecordBatch.from_arrays(out, names=names)
 
-    return joined.union(apart).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * keep_text)
+    return joined.union(apart).mapInArrow(tidy(run), "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * keep_text)
 
 
 def doubled(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -297,8 +298,6 @@ def doubled(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_
     still has one.  Whole copies of a document with a smaller id are left out.
     Level by level: of the windows of twice the length only those are looked
     up whose two halves are repeated, until no candidates survive."""
-    from framewright.llm._shared import stored
-
     texts, size, best = _texts(docs, id_col, text_col), window, None
     known = stored(repeated_windows(texts, window, False), "windows")
     while True:
@@ -311,7 +310,7 @@ def doubled(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(words.low + some))], names=["d"])
 
         rows = stored(texts.join(known, "d"), "texts")
-        here = stored(rows.mapInArrow(has_run, "d long").distinct().withColumn("n", F.lit(size)), "lengths")
+        here = stored(rows.mapInArrow(tidy(has_run), "d long").distinct().withColumn("n", F.lit(size)), "lengths")
         if here.isEmpty():
             break
         best = here if best is None else best.union(here)

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewright.llm._shared import filesystem, task_file, work_path
+from framewright.llm._shared import filesystem, task_file, tidy, work_path
 from framewright.llm._tokens import word_encoder
 
 MAGIC = b"FWTOKEN1"
@@ -212,7 +212,7 @@ def write_token_files(
 
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
     key = F.xxhash64("t")
-    made = rows.repartitionByRange("i", key).sortWithinPartitions("i", key).mapInArrow(write, "part long, file string, n long").collect()
+    made = rows.repartitionByRange("i", key).sortWithinPartitions("i", key).mapInArrow(tidy(write), "part long, file string, n long").collect()
     return [(x["file"], x["n"]) for x in sorted(made)]
 
 
@@ -240,7 +240,7 @@ def read_token_files(spark, files: list[tuple[str, int]]) -> DataFrame:
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
     if not files:
         return spark.createDataFrame([], schema)
-    return spark.range(0, len(files), 1, len(files)).mapInArrow(read, schema)
+    return spark.range(0, len(files), 1, len(files)).mapInArrow(tidy(read), schema)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:

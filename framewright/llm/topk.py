@@ -17,6 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewright.llm._shared import tidy
+
 GROUP = 8192  # candidates to a task
 QUERIES = 2048  # queries to a task
 STEP = 1024  # candidates between two looks at the bounds
@@ -57,7 +59,7 @@ def _blocks(vectors: DataFrame, size: int) -> DataFrame:
         for dim in list(held):
             yield block(dim)
 
-    return vectors.mapInArrow(run, "g long, dim long, ids binary, values binary")
+    return vectors.mapInArrow(tidy(run), "g long, dim long, ids binary, values binary")
 
 
 def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -138,6 +140,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = SCALE,
                     a, b, c = zip(*found, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64())], names=["query_id", "vec_id", "score"])
 
-    found = pairs.select("dim", "ids", "values", "q_ids", "q_values").mapInArrow(run, "query_id long, vec_id long, score long")
+    found = pairs.select("dim", "ids", "values", "q_ids", "q_values").mapInArrow(tidy(run), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

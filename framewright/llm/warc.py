@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewright.llm._shared import filesystem, task_file, work_path
+from framewright.llm._shared import filesystem, task_file, tidy, work_path
 
 FILE_BYTES = 1 << 30
 READ_BYTES = 1 << 20
@@ -245,7 +245,7 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, id_col: str =
         if names:
             yield pa.RecordBatch.from_pydict({"file": names})
 
-    return sorted(x["file"] for x in plan.mapInArrow(write, "file string").collect())
+    return sorted(x["file"] for x in plan.mapInArrow(tidy(write), "file string").collect())
 
 
 READ = "file string, offset long, end long, gap string, page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -275,7 +275,7 @@ def read_warc(spark, files: list[str]) -> DataFrame:
 
     if not names:
         return spark.createDataFrame([], READ)
-    return spark.range(0, len(names), 1, len(names)).mapInArrow(read, READ)
+    return spark.range(0, len(names), 1, len(names)).mapInArrow(tidy(read), READ)
 
 
 def page_row(record: Record) -> tuple:
