@@ -4,16 +4,19 @@ The text view sees hashed words, word beginnings and trailing marks, and some
 shares of characters; the metadata view sees language, source and length.  Per
 target (low quality, toxic) each view is a logistic regression.  In every round
 each view labels the unlabelled documents it is most sure of, for the other
-view to train on.  On held-out labelled documents both views are calibrated and
-a logistic combination of the two is fitted, which scores all documents.
-
-Training takes a bounded sample: LABELLED labelled and POOL unlabelled
-documents at most, by the hashes of their ids.  Scoring reads every document
-once, without a shuffle.
+view to train on.  Then each view is calibrated on labelled documents that it
+wasn't trained on, and a logistic combination of the two, fitted on others
+again, scores all documents.
+
+What is trained on is bounded: LABELLED labelled documents, and MOST_NEW more
+pseudo-labelled ones of a class and view in every round.  These are the surest
+of a pool that grows with the input, one document in POOL_PART, and that each
+round scores in full.  Scoring reads every document once, without a shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,12 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framewright.llm._shared import tidy
+from framewright.llm._shared import forget, stored, tidy
 from framewright.llm._text import LOWER as _LOWER
 from framewright.llm._text import mix, words_of
 
-LABELLED = 6_000
-POOL = 3_000
+LABELLED = 8_000
+POOL = 4_000  # unlabelled documents, at least
+POOL_PART = 8  # one in so many of a larger input
 BITS = 18
 ROUNDS = 3
 CONFIDENT = 0.98
@@ -135,7 +139,7 @@ def fit(row: np.ndarray, bucket: np.ndarray, dense: np.ndarray, y: np.ndarray, s
 
 
 def calibrated(logits: np.ndarray, y: np.ndarray, steps: int = 400) -> np.ndarray:
-    """Coefficients (views + 1) of a logistic map from the views' logits."""
+    """Coefficients (columns + 1) of a logistic map from some logits."""
     x = np.column_stack([np.clip(logits, -12, 12) / 4, np.ones(len(y))])
     w, square = np.zeros(x.shape[1]), np.zeros(x.shape[1])
     for _ in range(steps):
@@ -145,63 +149,91 @@ def calibrated(logits: np.ndarray, y: np.ndarray, steps: int = 400) -> np.ndarra
     return w / np.append(np.full(len(w) - 1, 4.0), 1.0)
 
 
+def _mapped(logits: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return np.clip(logits, -12, 12) @ w[:-1] + w[-1]
+
+
+@dataclass
+class Judge:
+    """The two views of a target, the calibration of each, and their mix."""
+
+    text: Linear
+    page: Linear
+    own: tuple[np.ndarray, np.ndarray]
+    mix: np.ndarray
+
+    def views(self, row, bucket, dense, meta) -> np.ndarray:
+        m_row = np.repeat(np.arange(len(meta)), meta.shape[1])
+        raw = self.text.score(row, bucket, dense), self.page.score(m_row, meta.ravel(), np.zeros((len(meta), 0)))
+        return np.column_stack([_mapped(x[:, None], w) for x, w in zip(raw, self.own, strict=True)])
+
+
 @dataclass
 class Model:
-    views: dict[str, tuple[Linear, Linear, np.ndarray]]
+    judges: dict[str, Judge]
 
     def probabilities(self, row, bucket, dense, meta) -> dict[str, np.ndarray]:
-        m_row = np.repeat(np.arange(len(meta)), meta.shape[1])
-        none = np.zeros((len(meta), 0))
-        out = {}
-        for target, (text, page, mixed) in self.views.items():
-            logits = np.column_stack([text.score(row, bucket, dense), page.score(m_row, meta.ravel(), none)])
-            out[target] = sigmoid(np.clip(logits, -12, 12) @ mixed[:-1] + mixed[-1])
-        return out
+        return {target: sigmoid(_mapped(j.views(row, bucket, dense, meta), j.mix)) for target, j in self.judges.items()}
 
 
 class _Rows:
-    """Features of sampled documents."""
-
-    def __init__(self, rows: list):
-        self.n = len(rows)
-        sizes = [len(r["f"]) // 4 for r in rows]
-        self.row = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
-        self.bucket = np.frombuffer(b"".join(bytes(r["f"]) for r in rows), "<i4")
-        self.dense = np.array([r["d"] for r in rows], float).reshape(-1, 6)
-        self.meta = np.array([r["m"] for r in rows], np.int64).reshape(-1, 3)
-
-    def parts(self, some: np.ndarray):
-        place = np.full(self.n, -1)
-        place[some] = np.arange(len(some))
-        on = place[self.row] >= 0
-        return (place[self.row[on]], self.bucket[on], self.dense[some]), (np.repeat(np.arange(len(some)), 3), self.meta[some].ravel(), np.zeros((len(some), 0)))
-
-
-def cotrained(labelled: list, pool: list, targets: tuple[str, ...]) -> Model:
-    """labelled, pool: rows with f, d, m and, of the labelled, the targets."""
-    all_rows = _Rows([*labelled, *pool])
-    held = np.arange(0, len(labelled), 4)
-    train = np.setdiff1d(np.arange(len(labelled)), held)
-    free = np.arange(len(labelled), all_rows.n)
-    sizes = ((1 << BITS), META)
-    views = {}
-    for target in targets:
-        y = np.array([r[target] for r in labelled], float)
-        known = [(train, y[train]), (train, y[train])]  # what each view trains on
-        models: list[Linear] = []
-        for k in range(ROUNDS + 1):
-            models = [fit(*all_rows.parts(known[v][0])[v], known[v][1], sizes[v], Z if v == 0 else 0.0) for v in (0, 1)]
-            if k == ROUNDS or not len(free):
-                break
-            new = []
-            for v in (0, 1):
-                p = sigmoid(models[v].score(*all_rows.parts(free)[v]))
-                sure = [free[np.argsort(-q, kind="stable")][: min(MOST_NEW * (k + 1), int((q >= CONFIDENT).sum()))] for q in (p, 1 - p)]
-                new.append((np.concatenate(sure), np.concatenate([np.ones(len(sure[0])), np.zeros(len(sure[1]))])))
-            known = [(np.concatenate([train, new[1 - v][0]]), np.concatenate([y[train], new[1 - v][1]])) for v in (0, 1)]
-        a, b = all_rows.parts(held)
-        views[target] = (*models, calibrated(np.column_stack([models[0].score(*a), models[1].score(*b)]), y[held]))
-    return Model(views)
+    """Features of sampled documents (columns f, d, m of an Arrow table)."""
+
+    def __init__(self, table: pa.Table):
+        self.n = table.num_rows
+        blobs = table.column("f").to_pylist()
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), [len(b) // 4 for b in blobs])
+        self.bucket = np.frombuffer(b"".join(blobs), "<i4")
+        self.dense = np.array(table.column("d").to_pylist(), float).reshape(-1, 6)
+        self.meta = np.array(table.column("m").to_pylist(), np.int64).reshape(-1, 3)
+
+    def view(self, v: int):
+        if v == 0:
+            return self.row, self.bucket, self.dense
+        return np.repeat(np.arange(self.n), 3), self.meta.ravel(), np.zeros((self.n, 0))
+
+
+def _in_ratio(y: np.ndarray, share: float) -> np.ndarray:
+    """As many of either class, the surest first, as keeps their ratio."""
+    ones, rest = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    n = min(len(ones) / max(share, 1e-9), len(rest) / max(1 - share, 1e-9))
+    return np.concatenate([ones[: int(n * share)], rest[: int(n * (1 - share))]])
+
+
+def _trained(v: int, known: pa.Table, y: np.ndarray) -> Linear:
+    return fit(*_Rows(known).view(v), y, (1 << BITS, META)[v], 0.0 if v else Z)
+
+
+def cotrained(labelled: pa.Table, surest: Callable, targets: tuple[str, ...]) -> Model:
+    """labelled: f, d, m and the targets.  ``surest`` gives, for models of
+    (target, view), their calibrations and a number, of the pool the documents
+    that each is surest of, the surest first, as f, d, m, target, view and y.
+    A view is sure of what is CONFIDENT after calibration, so one that can't
+    tell the classes apart teaches nothing."""
+    i = np.arange(labelled.num_rows)
+    train, first, second = (labelled.filter(pa.array(x)) for x in (i % 5 < 3, i % 5 == 3, i % 5 == 4))
+    truth = {t: [x.column(t).to_numpy().astype(float) for x in (train, first, second)] for t in targets}
+    features = train.select(["f", "d", "m"])
+    a, b = _Rows(first), _Rows(second)
+    models = {(t, v): _trained(v, features, truth[t][0]) for t in targets for v in (0, 1)}
+    own = {(t, v): calibrated(models[t, v].score(*a.view(v))[:, None], truth[t][1]) for t, v in models}
+    for k in range(ROUNDS):
+        found = surest(models, own, MOST_NEW * (k + 1))
+        for t in targets:
+            for v in (0, 1):  # learns from what the other view is sure of
+                new = found.filter(pa.compute.and_(pa.compute.equal(found.column("target"), t), pa.compute.equal(found.column("view"), 1 - v)))
+                y = new.column("y").to_numpy().astype(float)
+                some = _in_ratio(y, truth[t][0].mean())
+                if len(some):
+                    new = new.take(pa.array(some)).select(["f", "d", "m"]).cast(features.schema)
+                    models[t, v] = _trained(v, pa.concat_tables([features, new]), np.concatenate([truth[t][0], y[some]]))
+        own = {(t, v): calibrated(models[t, v].score(*a.view(v))[:, None], truth[t][1]) for t, v in models}
+    judges = {}
+    for t in targets:
+        judge = Judge(models[t, 0], models[t, 1], (own[t, 0], own[t, 1]), np.zeros(3))
+        judge.mix = calibrated(judge.views(*b.view(0), b.meta), truth[t][2])
+        judges[t] = judge
+    return Model(judges)
 
 
 def _columns(docs: DataFrame, text_col: str) -> list:
@@ -229,20 +261,49 @@ def _features(rows: DataFrame, extra: list[str]) -> DataFrame:
 
 def trained(docs: DataFrame, labels: DataFrame, n_labelled: int = LABELLED, n_pool: int = POOL, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
     """Co-train on a sample.  Labels of null ids or with a null target are left
-    out; None if no document is labelled."""
+    out; of several for one id the worse counts; rows that share a labelled id
+    are all labelled.  None if no document is labelled."""
     order = F.xxhash64(F.lit(7), "i")
     marks = labels.select(F.col(id_col).cast("long").alias("i"), (F.col("quality") == 0).cast("int").alias("low"), F.col("toxic").cast("int").alias("toxic")).dropna()
     marks = marks.groupBy("i").agg(F.max("low").alias("low"), F.max("toxic").alias("toxic")).orderBy(order, "i").limit(n_labelled)
     rows = docs.select(F.col(id_col).cast("long").alias("i"), *_columns(docs, text_col))
     chosen = rows.join(F.broadcast(marks), "i")  # at most n_labelled rows of three numbers
-    labelled = _features(chosen, ["i", "low", "toxic"]).orderBy(order, "i").collect()
-    if not labelled:
+    labelled = _features(chosen.select("*", F.xxhash64("t").alias("h")), ["i", "h", "low", "toxic"]).orderBy(order, "i", "h").limit(n_labelled).toArrow()
+    if not labelled.num_rows:
         return None
     n = docs.count()
-    share = min(1.0, n_pool / max(n, 1))
-    loose = rows.where(F.pmod(F.xxhash64(F.lit(8), "i"), F.lit(1_000_003)) < int(1_000_003 * share)).join(F.broadcast(marks.select("i")), "i", "left_anti")
-    pool = _features(loose, ["i"]).limit(n_pool).collect()
-    return cotrained(labelled, sorted(pool, key=lambda r: (r["i"] is None, r["i"] or 0)), ("low", "toxic"))
+    share = min(1.0, max(n_pool / max(n, 1), 1 / POOL_PART))
+    drawn = F.pmod(F.xxhash64(F.lit(8), "i", "t"), F.lit(1_000_003)) < int(1_000_003 * share)
+    loose = rows.where(drawn).join(F.broadcast(marks.select("i")), "i", "left_anti")
+    pool = stored(_features(loose.select("*", F.xxhash64("i", "t").alias("h")), ["h"]), "pool")
+    model = cotrained(labelled, _surest(pool), ("low", "toxic"))
+    forget(docs.sparkSession, pool)
+    return model
+
+
+def _surest(pool: DataFrame) -> Callable:
+    fields = [T.StructField(n, k) for n, k in (("target", T.StringType()), ("view", T.IntegerType()), ("y", T.IntegerType()), ("p", T.DoubleType()))]
+    schema = T.StructType([*fields, *pool.schema.fields])
+
+    def surest(models: dict, own: dict, most: int) -> pa.Table:
+        def run(batches):
+            for batch in batches:
+                rows = _Rows(pa.Table.from_batches([batch]))
+                for (target, v), model in models.items():
+                    p = sigmoid(_mapped(model.score(*rows.view(v))[:, None], own[target, v]))
+                    for y, q in ((1, p), (0, 1 - p)):
+                        at = np.flatnonzero(q >= CONFIDENT)
+                        at = at[np.argsort(-q[at], kind="stable")[:most]]
+                        part = batch.take(pa.array(at))
+                        columns = [pa.array([target] * len(at), pa.string()), pa.array(np.full(len(at), v, np.int32)), pa.array(np.full(len(at), y, np.int32)), pa.array(q[at])]
+                        yield pa.RecordBatch.from_arrays([*columns, *part.columns], names=[*(f.name for f in fields), *part.schema.names])
+
+        found = stored(pool.mapInArrow(tidy(run), schema), "surest")
+        parts = [found.where((F.col("target") == t) & (F.col("view") == v) & (F.col("y") == y)).orderBy(F.desc("p"), "h").limit(most).toArrow() for t, v in models for y in (0, 1)]
+        forget(pool.sparkSession, found)
+        return pa.concat_tables(parts)
+
+    return surest
 
 
 SCORES = ("p_low_quality", "p_toxic", "keep")
@@ -262,7 +323,7 @@ def scored(docs: DataFrame, model: Model | None, threshold: float = 0.5, columns
     inner = [f"__{k}" for k in ("t", "lang", "source", "n_chars")]
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], *[c.alias(n) for c, n in zip(_columns(docs, text_col), inner, strict=True)])
 
-    used = np.any([text.buckets != 0 for text, _, _ in model.views.values()], axis=0)
+    used = np.any([j.text.buckets != 0 for j in model.judges.values()], axis=0)
 
     def run(batches):
         for batch in batches:
