@@ -62,6 +62,7 @@ def forget(spark: SparkSession, *tables: DataFrame) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
         if path in _STORED:
             _STORED.remove(path)
+    trim()
 
 
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -84,16 +85,23 @@ def tidy(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
-            import ctypes
+            trim()
 
-            import pyarrow as pa
+    return tidied
 
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
 
-    return tidied
+def trim() -> None:
+    """Give unused memory of this process back to the system."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give:
+        give(0)
 
 
 def filesystem(uri: str):

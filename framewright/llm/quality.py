@@ -124,8 +124,9 @@ def fit(row: np.ndarray, bucket: np.ndarray, dense: np.ndarray, y: np.ndarray, s
     chosen = chosen[np.argsort(-gap[chosen], kind="stable")[:most]]
     place = np.full(size, -1)
     place[chosen] = np.arange(len(chosen))
-    on = place[bucket] >= 0
-    row, at = row[on], place[bucket[on]]
+    at = place.astype(np.int32)[bucket]
+    on = at >= 0
+    row, at = row[on], at[on]
     w, d, b = np.zeros(len(chosen)), np.zeros(dense.shape[1]), np.log(n1 / n0)
     square = [np.zeros_like(w), np.zeros_like(d), 0.0]
     for _ in range(steps):
@@ -228,6 +229,7 @@ def cotrained(labelled: pa.Table, surest: Callable, targets: tuple[str, ...]) ->
                     new = new.take(pa.array(some)).select(["f", "d", "m"]).cast(features.schema)
                     models[t, v] = _trained(v, pa.concat_tables([features, new]), np.concatenate([truth[t][0], y[some]]))
         own = {(t, v): calibrated(models[t, v].score(*a.view(v))[:, None], truth[t][1]) for t, v in models}
+        del found
     judges = {}
     for t in targets:
         judge = Judge(models[t, 0], models[t, 1], (own[t, 0], own[t, 1]), np.zeros(3))
