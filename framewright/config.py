@@ -2,104 +2,118 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, fields
+import copy
 from pathlib import Path
 
-
-@dataclass
-class SamplingConfig:
-    mode: str = "uniform"
-    frames_per_episode: int | None = None
-    sample_frames_per_episode: int | None = None  # older name of the same
-    max_frames_per_episode: int | None = None
-    frame_indices: list[int] | None = None
-    stride_frames: int | None = None
-    stride_seconds: float | None = None
-    keep_boundaries: bool = True
-    fps: float | None = None
-
-    def __post_init__(self):
-        if self.mode not in ("uniform", "subtask_aware"):
-            raise ValueError(f"sampling.mode: {self.mode!r}")
-        if self.mode == "subtask_aware":
-            if (self.stride_frames is None) == (self.stride_seconds is None):
-                raise ValueError("sampling: give stride_frames or stride_seconds, one of them")
-            if (self.stride_frames or self.stride_seconds) <= 0:
-                raise ValueError("sampling: the stride must be positive")
+# The configuration surface, section by section ("" is the top
+# level), with its defaults.
+KEYS = {
+    "": {
+        "dataset_path": "", "dataset_type": "auto", "camera_names": [], "stage": "both", "dry_run": False,
+        "episode_indices": None, "frame_indices": None, "max_episodes": None, "max_frames_per_episode": None, "sample_frames_per_episode": None,
+        "checkpoint_dir": None, "segmentation_checkpoint_dir": None, "depth_checkpoint_dir": None, "num_workers": 1, "log_level": "INFO",
+    },
+    "sampling": {"mode": "uniform", "frames_per_episode": None, "stride_frames": None, "stride_seconds": None, "keep_subtask_boundaries": True},
+    "discovery": {
+        "mode": "instruction", "extractor": "qwen", "always_include": ["robot hand"], "vocab_file": None, "manual_queries": {},
+        "qwen_model_path": None, "qwen_endpoint": "http://localhost:8000/v1/chat/completions", "qwen_model": "qwen3-placeholder",
+        "qwen_temperature": 0.0, "qwen_max_tokens": 128, "qwen_timeout": 30.0, "qwen_api_key": None,
+        "instruction_source": "episode_field", "instruction_field": "expand_task", "instruction_join_path": None,
+        "instruction_join_episode_key": "episode_index", "instruction_join_file_key": "episode_index",
+        "instruction_join_text_field": "expand_task", "default_instruction": "",
+    },
+    "segmentation": {"model_path": None, "model_type": "sam3", "confidence_threshold": 0.5, "mask_threshold": 0.5, "max_instances_per_query": 10},
+    "depth": {
+        "model_path": None, "model_type": "depth_anything_v3", "output_metric": True, "debug_depth_range": False, "process_res": 504,
+        "process_res_method": "upper_bound_resize", "use_ray_pose": False, "fx": None, "fy": None, "calibration_width": None, "calibration_height": None,
+    },
+    "storage": {"output_dir": "annotations", "segmentation_output_dir": None, "depth_output_dir": None, "mask_format": "parquet", "depth_format": "png16", "overwrite": False},
+    "qc": {"enabled": True, "num_frames_per_episode": 5, "output_dir": None, "colormap": "turbo"},
+}
+CHOICES = {
+    "dataset_type": ("auto", "lerobot_v3", "mock"), "stage": ("segmentation", "depth", "both"),
+    "sampling.mode": ("uniform", "subtask_aware"), "discovery.mode": ("instruction", "vocab", "auto"),
+    "discovery.extractor": ("qwen", "rule", "mock", "manual"), "discovery.instruction_source": ("episode_field", "join_file", "none"),
+}
+
+#: Keys that are read and checked but change nothing here: models are backends
+#: that the caller gives, Spark schedules the work, and progress is read from
+#: the products, so a checkpoint folder isn't needed.
+WITHOUT_EFFECT = (
+    "num_workers", "log_level", "checkpoint_dir", "segmentation_checkpoint_dir", "depth_checkpoint_dir", "discovery.mode", "discovery.vocab_file",
+    "discovery.qwen_model_path", "segmentation.model_path", "segmentation.model_type", "segmentation.mask_threshold",
+    "depth.model_path", "depth.model_type", "depth.debug_depth_range", "depth.process_res", "depth.process_res_method", "depth.use_ray_pose",
+    "storage.mask_format", "storage.depth_format", "qc.enabled", "qc.output_dir", "qc.colormap",
+)
+
+
+class Section:
+    """One section's values as attributes; unknown keys and values outside of
+    CHOICES are errors."""
+
+    def __init__(self, name: str, given: dict | None):
+        known = KEYS[name]
+        if unknown := set(given or {}) - set(known):
+            raise ValueError(f"{name or 'configuration'}: unknown {', '.join(sorted(map(str, unknown)))}")
+        for key, default in known.items():
+            value = (given or {}).get(key, copy.deepcopy(default))
+            allowed = CHOICES.get(f"{name}.{key}".lstrip("."))
+            if allowed and value not in allowed:
+                raise ValueError(f"{name}.{key}: {value!r} is none of {', '.join(allowed)}")
+            setattr(self, key, value)
+
+
+class SamplingConfig(Section):
+    """The sampling section; the counts and lists of the top level that go with
+    it, and the frame rate once it is known."""
+
+    def __init__(self, fps: float | None = None, frame_indices=None, sample_frames_per_episode=None, max_frames_per_episode=None, **given):
+        super().__init__("sampling", given)
+        self.fps, self.frame_indices = fps, frame_indices
+        self.sample_frames_per_episode, self.max_frames_per_episode = sample_frames_per_episode, max_frames_per_episode
+        if self.mode == "subtask_aware" and (self.stride_frames is None) == (self.stride_seconds is None):
+            raise ValueError("sampling: give stride_frames or stride_seconds, one of them")
+        if any(x is not None and x <= 0 for x in (self.stride_frames, self.stride_seconds)):
+            raise ValueError("sampling: the stride must be positive")
         for name in ("frames_per_episode", "sample_frames_per_episode", "max_frames_per_episode"):
             if (getattr(self, name) or 0) < 0:
-                raise ValueError(f"sampling.{name} must not be negative")
+                raise ValueError(f"sampling: {name} must not be negative")
 
     def uniform_count(self) -> int | None:
         return self.sample_frames_per_episode if self.frames_per_episode is None else self.frames_per_episode
 
-    def stride(self) -> int:
+    def stride(self) -> int | None:
+        """Frames between two samples, or None if that takes each episode's
+        own frame rate."""
         if self.stride_frames is not None:
             return self.stride_frames
         if not self.fps:
-            raise ValueError("sampling.stride_seconds needs a frame rate")
+            return None
         stride = round(self.stride_seconds * self.fps)  # half to even
         if stride < 1:
             raise ValueError("sampling: the stride is below one frame")
         return stride
 
 
-@dataclass
-class DiscoveryConfig:
-    extractor: str = "rule"
-    always_include: list[str] = field(default_factory=list)
-    manual_queries: dict[str, list[str]] = field(default_factory=dict)
-    instruction_source: str = "field"
-    instruction_field: str = "expand_task"
-    instruction_join_file: str | None = None
-    instruction_join_key: str = "episode_index"
-    instruction_join_file_key: str = "episode_index"
-    instruction_join_text_field: str = "expand_task"
-    default_instruction: str = "perform the task"
-
-    def __post_init__(self):
-        if self.extractor not in ("rule", "mock", "manual", "qwen"):
-            raise ValueError(f"discovery.extractor: {self.extractor!r}")
-        if self.instruction_source not in ("none", "join_file", "field"):
-            raise ValueError(f"discovery.instruction_source: {self.instruction_source!r}")
-
-
-@dataclass
-class PipelineConfig:
-    dataset_path: str = ""
-    output_dir: str = "annotations"
-    segmentation_output_dir: str | None = None
-    depth_output_dir: str | None = None
-    stage: str = "both"
-    dry_run: bool = False
-    overwrite: bool = False
-    cameras: list[str] = field(default_factory=lambda: ["front"])
-    episode_indices: list[int] | None = None
-    max_episodes: int | None = None
-    min_score: float = 0.0
-    max_instances_per_query: int | None = None
-    output_metric: bool = True
-    sampling: SamplingConfig = field(default_factory=SamplingConfig)
-    discovery: DiscoveryConfig = field(default_factory=DiscoveryConfig)
-
-    def __post_init__(self):
-        if self.stage not in ("segmentation", "depth", "both"):
-            raise ValueError(f"stage: {self.stage!r}")
-
-    def folder(self, product: str) -> str:
-        """The product's own folder, if it has one."""
-        return {"masks": self.segmentation_output_dir, "depth": self.depth_output_dir}.get(product) or self.output_dir
+class PipelineConfig(Section):
+    """The whole configuration: the top level's values, and a section each."""
 
+    def __init__(self, **given):
+        parts = {name: given.pop(name, None) or {} for name in KEYS if name}
+        super().__init__("", given)
+        for name in ("discovery", "segmentation", "depth", "storage", "qc"):
+            setattr(self, name, Section(name, parts[name]))
+        counts = {k: getattr(self, k) for k in ("frame_indices", "sample_frames_per_episode", "max_frames_per_episode")}
+        self.sampling = SamplingConfig(**counts, **parts["sampling"])
 
-def _made(kind, values: dict):
-    if unknown := set(values) - {f.name for f in fields(kind)}:
-        raise ValueError(f"{kind.__name__}: unknown {', '.join(sorted(unknown))}")
-    return kind(**values)
+    def folder(self, product: str) -> str:
+        """The product's own folder, or one below the common one, so that runs
+        of one stage never write to the same place."""
+        own = {"masks": ("segmentation_output_dir", "segmentation"), "depth": ("depth_output_dir", "depth_stage")}[product]
+        return str(getattr(self.storage, own[0]) or f"{self.storage.output_dir}/{own[1]}")
 
 
 def load_config(path: str | Path) -> PipelineConfig:
     import yaml
 
-    values = yaml.safe_load(Path(path).read_text()) or {}
-    parts = {"sampling": SamplingConfig, "discovery": DiscoveryConfig}
-    return _made(PipelineConfig, values | {k: _made(c, values.get(k) or {}) for k, c in parts.items()})
+    return PipelineConfig(**(yaml.safe_load(Path(path).read_text()) or {}))

@@ -38,7 +38,12 @@ def relative_steps(depth: Column) -> Column:
 
 def depth_sidecar(kind: str, scale: Column, low: Column, high: Column) -> Column:
     """JSON beside a depth image; units only for metric depth."""
-    fields = {"depth_type": F.lit(kind), "scale": scale, "original_min": low, "original_max": high, "encoding": F.lit("uint16"), "units": F.lit("millimeters" if kind == "metric" else None), "conversion_note": F.lit("depth = value / 1000" if kind == "metric" else "depth = value / 65535 * (max - min) + min")}
+    # The sidecar's keys and texts.
+    fields = {"depth_type": F.lit(kind), "scale": scale, "original_min": low, "original_max": high, "encoding": F.lit("uint16_png")}
+    if kind == "metric":
+        fields |= {"units": F.lit("millimeters"), "conversion_note": F.lit("Divide pixel value by 1000 to get meters")}
+    else:
+        fields |= {"conversion_note": F.lit("Relative depth, normalize to [0, 1] range")}
     return F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
 
 

@@ -56,11 +56,12 @@ def resolved_text(own: Column, default: str) -> Column:
     return F.coalesce(F.nullif(F.trim(F.regexp_replace(own, r"\A[\s ]+|[\s ]+\z", "")), F.lit("")), F.lit(default))
 
 
-def with_instruction(episodes: DataFrame, side: DataFrame, key: str, side_key: str, side_text: str, default: str) -> DataFrame:
+def with_instruction(episodes: DataFrame, side: DataFrame, key: str, side_key: str, side_text: str, default: str, place: str | None = None) -> DataFrame:
     """instruction from a side table; blank texts there don't count, of
-    duplicates the last does."""
-    usable = side.select(F.col(side_key).alias(key), F.col(side_text).alias("__text")).where(F.trim("__text") != "")
-    joined = episodes.join(checked_broadcast(last_of(usable, [key], ["__text"])), key, "left")
+    duplicates the last by ``place`` does, or the greatest text without one."""
+    usable = side.select(F.col(side_key).alias(key), F.col(side_text).alias("__text"), *([place] if place else [])).where(resolved_text(F.col("__text"), "") != "")
+    last = last_of(usable, [key], [place or "__text"]).select(key, "__text")
+    joined = episodes.join(checked_broadcast(last), key, "left")
     return joined.withColumn("instruction", resolved_text(F.col("__text"), default)).drop("__text")
 
 

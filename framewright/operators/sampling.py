@@ -32,11 +32,11 @@ def on_stride(frame: Column, start: Column, end: Column, stride: int | Column, k
     return hit | (frame == end) if keep_boundaries else hit
 
 
-def subtask_aware(frames: DataFrame, stride: int, keep_boundaries: bool = True, episode: str = "episode_idx", frame: str = "frame_idx", label: str = "subtask") -> DataFrame:
+def subtask_aware(frames: DataFrame, stride: int | Column, keep_boundaries: bool = True, episode: str = "episode_idx", frame: str = "frame_idx", label: str = "subtask") -> DataFrame:
     """Frames at multiples of the stride from their run's start and, if asked,
     each run's last.  An episode with an unlabelled frame has none: its frames
     come out with status ``missing_subtask`` and selected false."""
-    if stride < 1:
+    if isinstance(stride, int) and stride < 1:
         raise ValueError("the stride must be 1 or more")
     runs = with_runs(frames, episode, frame, label)
     bad = F.max(F.col(label).isNull().cast("int")).over(Window.partitionBy(episode)) == 1
@@ -90,9 +90,26 @@ def sample(frames: DataFrame, sampling, episode: str = "episode_idx", frame: str
     if sampling.frame_indices is not None:
         return frames.join(explicit(lengths, sampling.frame_indices, episode, "length", frame), keys, "left_semi")
     if sampling.mode == "subtask_aware":
-        return subtask_aware(frames, sampling.stride(), sampling.keep_boundaries, episode, frame, label).where("selected").select(*frames.columns)
+        return with_status(frames, sampling, episode, frame, label).where("selected").select(*frames.columns)
     if (n := sampling.uniform_count()) is not None:
         return frames.join(uniform(frames, n, episode, frame), keys, "left_semi")
     if sampling.max_frames_per_episode is not None:
         return first_n(frames, sampling.max_frames_per_episode, frame)
     return frames
+
+
+def with_status(frames: DataFrame, sampling, episode: str = "episode_idx", frame: str = "frame_idx", label: str = "subtask") -> DataFrame:
+    """The frames with selected and status for subtask-aware sampling.  Without
+    a frame rate for a stride in seconds each episode's own is taken from its
+    timestamps; an episode without one has status ``missing_fps``, and none
+    of its frames is selected."""
+    stride, kept = sampling.stride(), frames.columns
+    if stride is None:
+        rates = frame_rate(frames, episode, frame).select(episode, stride_of(sampling.stride_seconds, F.col("fps")).alias("__stride"))
+        frames = frames.join(rates, episode, "left")
+        stride = F.coalesce("__stride", F.lit(1))
+    out = subtask_aware(frames, stride, sampling.keep_subtask_boundaries, episode, frame, label)
+    if "__stride" in frames.columns:
+        lost = F.col("__stride").isNull() & (F.col("status") == "ok")
+        out = out.withColumn("selected", F.col("selected") & ~lost).withColumn("status", F.when(lost, "missing_fps").otherwise(F.col("status")))
+    return out.select(*kept, "status", "selected")
