@@ -137,6 +137,42 @@ def test_components(spark):
     assert got == {x: r for x, r in root.items() if x != r}
 
 
+def test_topk_over_many_blocks(spark, sf, monkeypatch):
+    """Against all scores, with blocks and groups of a few rows, and hardly any
+    pair scored exactly where lengths differ."""
+    monkeypatch.setattr(topk, "GROUP", 64)
+    monkeypatch.setattr(topk, "QUERIES", 2)
+    rng = np.random.default_rng(3)
+    length = np.exp(rng.normal(0, 1.5, 1500))
+    vectors = rng.normal(size=(1500, 16)) * length[:, None] * np.linspace(3, 0.1, 16)
+    vectors[700] = vectors[701]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0).collect()
+    whole = np.floor(1024 * vectors).astype(np.int64)
+    want = set()
+    for q in range(0, 1500, 100):
+        best = sorted((-int(s), i) for i, s in enumerate(whole @ whole[q]) if i != q)[:10]
+        want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in got} == want
+    order = np.argsort(-np.linalg.norm(whole, axis=1))
+    whole = whole[order]
+    _, scored = topk.top_of(whole[::100], order[::100], whole, order, 10, topk.rotation_of(whole[:64]), np.full(15, -np.inf))
+    print("scored exactly", scored / (15 * 1500))
+    assert scored < 0.5 * 15 * 1500
+    real = np.array([r.embedding for r in spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.1')}/embeddings.parquet").orderBy("vec_id").collect() if r.embedding is not None])
+    real = np.floor(1024 * real[np.isfinite(real).all(1)]).astype(np.int64)
+    ids = np.arange(len(real))
+    _, scored = topk.top_of(real[::100], ids[::100], real, ids, 10, topk.rotation_of(real), np.full(len(real[::100]), -np.inf))
+    print("scored exactly on sf0.1", scored / (len(real) * len(real[::100])))
+
+
+def test_topk_odd_rows(spark):
+    rows = spark.createDataFrame([(0, [1.0, 2.0], 1), (100, [], 1), (200, None, 1), (None, [1.0, 1.0], 1), (3, [2.0, None], 1), (4, [float("nan"), 1.0], 1), (5, [1.0], 1), (6, [-1.0, 0.5], 1), (7, [], 1)], "vec_id long, embedding array<double>, i int").selectExpr("*", "i as v", "i as q", "i as g")
+    got = topk.top_k(rows, F.col("vec_id") % 100 == 0).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == [(0, 1, 6, 0), (100, 1, 7, 0)]
+    assert topk.top_k(rows.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
 def test_topk(spark):
     rng = np.random.default_rng(3)
     rows = [(int(i), (rng.standard_normal(8) * rng.uniform(0.1, 3)).tolist()) for i in range(400)]
