@@ -24,7 +24,7 @@ GROUP = 4096  # candidates to a block
 QUERIES = 1024  # queries to a group
 STEP = 256  # candidates between two looks at the bounds
 FIRST_BYTES = 64 << 20  # of longest blocks, one for each length of vector, that go to all tasks
-HEAD = 0.25  # of the rotated components in the partial sums
+HEAD = 0.75  # of the rotated components in the partial sums
 
 SCALE = 1024
 

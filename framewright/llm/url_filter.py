@@ -22,9 +22,19 @@ RULES = (
     ("com", "/de/", "block"),
 )
 
-#: Words that the labelled URLs are made of: unwanted and wanted hosts.
-UNWANTED = ("cheap-pills", "casino-win", "spam-farm", "adult-x", "free-bets", "ads-track", "buy-viagra", "poker-bonus", "xxx-cams", "loan-quick", "click-ads", "fake-watches")
-WANTED = ("library", "thunder", "theatre", "museum", "nation", "weather", "motion", "university", "heritage", "recipes", "station", "gathering", "news", "research", "monthly", "school")
+#: Words that the labelled URLs are made of: unwanted and wanted hosts, some of
+#: either with a hyphen.  None of them is a host of the driver's pages.
+UNWANTED = (
+    "casino-slots", "online-casino", "royalcasino", "poker-bonus", "pokernight", "win-cash", "bigwin", "lucky-win",
+    "free-spins", "free-money", "freegift", "sport-bets", "betsonline", "sure-bets", "ads-serve", "popads", "banner-ads",
+    "click-track", "trackpixel", "spam-mail", "bulkspam", "link-farm", "content-farm", "cheap-meds", "cheapwatches", "cheap-loans",
+    "diet-pills", "bluepills", "buy-pills", "adult-chat", "adultcams", "xxx-cams", "replica-bags", "quick-loan",
+)
+WANTED = (
+    "city-library", "library", "thunder", "old-theatre", "theatre", "museum", "nation", "weather-station", "weather", "motion", "university", "heritage",
+    "recipes", "family-recipes", "station", "gathering", "news", "daily-news", "research", "monthly", "school", "high-school", "garden", "travel-notes",
+    "hat-shop", "thatched-roof", "youth-club", "south-coast", "habitat", "history", "astronomy", "book-club", "gardening", "tourist-office", "meadow", "thirteen", "therapist", "ninth-street", "together",
+)
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:

@@ -96,6 +96,30 @@ def test_mixture(spark, sf):
         assert abs(got - n / whole) < 0.02
 
 
+def test_url_filter_on_hosts_it_has_not_seen(spark, sf):
+    """Verdicts of the method on the pages' hosts, none of which is labelled;
+    host, path and rule of all pages against brute force."""
+    pages = spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.01')}/pages.parquet").select("page_id", "url")
+    bad = {"cheap-pills", "casino-win", "spam-farm", "adult-x", "free-bets", "ads-track"}
+    labelled = {r.url.split("/")[2].split(".example")[0].split(".")[-1] for r in url_filter.labelled_urls(spark).collect()}
+    right = []
+    for r in url_filter.judged(pages, url_filter.labelled_urls(spark)).collect():
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", r.url or "")
+        host, path = (re.sub("[A-Z]", lambda x: x[0].lower(), m[1]), m[2]) if m else ("", "")
+        fits = [(len(h + p), h + p, v) for h, p, v in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        assert (r.host, r.path, r.rule) == (host, path, max(fits)[1] if fits else None)
+        if fits:
+            assert r.verdict == max(fits)[2]
+        elif host:
+            word = host.split(".example")[0].split(".")[-1]
+            assert word not in labelled
+            right.append(((word in bad), (r.verdict == "block") == (word in bad)))
+    for kind in (True, False):
+        share = np.mean([ok for b, ok in right if b == kind])
+        print("unwanted" if kind else "wanted", sum(b == kind for b, _ in right), "right", share)
+        assert share >= 0.9
+
+
 def test_url_filter(spark, sf):
     urls = [(1, "http://A.Example.ORG/es/x?q"), (2, "https://example.com/de/1"), (3, "x.com/fr/"), (4, None), (5, "http://example.org/en/12"), (6, "ftp://com"), (7, "http://a.org"), (8, "http://www.cheap-pills.example.net/en/1"), (9, "http://history.example.net/en/4\nz"), (9, "http://history.example.net/en/4\nz")]
     rows = url_filter.judged(spark.createDataFrame(urls, "page_id long, url string").withColumn("host", F.lit(1)), url_filter.labelled_urls(spark)).collect()
