@@ -99,6 +99,45 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), n AS (
+            SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM d WHERE len(w) >= 13 AND doc_id IS NOT NULL
+        ), k AS (
+            SELECT r, doc_id, p, array_to_string(w[p:p + 12], ' ') AS words FROM n
+        ), f AS (
+            SELECT words, min(doc_id) AS m FROM k GROUP BY words HAVING min(doc_id) < max(doc_id)
+        ), g AS (
+            SELECT r, list_sort(list(DISTINCT q)) AS gone
+            FROM (SELECT r, unnest(range(p, p + 13)) AS q FROM k JOIN f USING (words) WHERE doc_id > m) GROUP BY r
+        ), kept AS (
+            SELECT r, string_agg(x, ' ' ORDER BY i) AS t
+            FROM (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d)
+            WHERE (r, i) NOT IN (SELECT (r, unnest(gone)) FROM g) GROUP BY r
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN g USING (r) LEFT JOIN kept USING (r)
+    """,
+    "op5_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+        ), b AS (
+            SELECT page_id, payload_bytes, h, array_to_string(list_transform(
+                range(1, 41), lambda i: substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * strpos('0123456789abcdef', h[i]) - 3, 4)), '') AS bits
+            FROM p
+        ), e AS (
+            SELECT page_id, payload_bytes, array_to_string(list_transform(
+                range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(bits[5 * i + 1] AS INT) + 8 * CAST(bits[5 * i + 2] AS INT)
+                    + 4 * CAST(bits[5 * i + 3] AS INT) + 2 * CAST(bits[5 * i + 4] AS INT) + CAST(bits[5 * i + 5] AS INT), 1)), '') AS payload_digest
+            FROM b
+        ), m AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS r FROM e
+        )
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+            CASE WHEN r IS NULL OR page_id = r THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id = r THEN NULL ELSE r END AS refers_to
+        FROM m
+    """,
     "op9_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e

@@ -1,9 +1,10 @@
 """WARC files: a writer that stores equal payloads once, and a salvage reader.
 
-Files are gzip members of one record each (plain files are read too).  When a
-member or record fails a check (framing, length, checksum, payload digest), the
+Files are gzip members of one record or more each, or plain.  When a record
+fails a check (framing, length, payload digest) or a member is damaged, the
 reader searches for the next place where a whole member, or a version line,
-begins, goes on there, and logs the bytes between as a gap.
+begins, in the file or in the member's own data, goes on there, and logs the
+bytes between as a gap.  Records before the damage are kept.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ from framewright.llm._shared import filesystem, task_file, tidy, work_path
 
 FILE_BYTES = 1 << 30
 READ_BYTES = 1 << 20
+MOST_BYTES = (1 << 31) - 1  # of a record, which is held whole
 MEMBER = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"(?:\A|(?<=\n))WARC/[0-9]\.[0-9]\r?\n")
+VERSION_LINE = re.compile(rb"\nWARC/[0-9]\.[0-9]\r?\n")
 DATE = "2024-01-01T00:00:00Z"
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "framewright:page").int >> 64 << 64
 _MASK = (1 << 64) - 1
@@ -36,9 +39,14 @@ def record_id(page_id: int | None) -> str:
     return f"<urn:uuid:{uuid.UUID(int=_SPACE | ((page_id or 0) & _MASK))}>"
 
 
-def page_of(urn: str) -> int:
-    n = uuid.UUID(urn.strip("<>")[9:]).int & _MASK
-    return n - (1 << 64) if n >> 63 else n
+def page_of(urn: str) -> int | None:
+    """The page id of one of our record ids; null for any other."""
+    try:
+        whole = uuid.UUID(urn.strip().strip("<>").removeprefix("urn:uuid:")).int
+    except ValueError:
+        return None
+    n = whole & _MASK
+    return None if whole ^ n != _SPACE else n - (1 << 64) if n >> 63 else n
 
 
 def digest_text(sha1: bytes) -> str:
@@ -95,9 +103,63 @@ class Gap:
     reason: str
 
 
+class Inflated:
+    """A gzip member's data as a stream, by its own positions.  What a damaged
+    or cut member still gives comes first; ``error`` says what was wrong."""
+
+    def __init__(self, salvage: "Salvage", offset: int):
+        self.salvage, self.end, self.error = salvage, offset, ""
+        self.unpacker, self.base, self.data, self.whole = zlib.decompressobj(31), 0, bytearray(), False
+
+    def _more(self) -> bool:
+        if self.whole or self.error:
+            return False
+        chunk = self.salvage._at(self.end, 1 << 16)
+        before = self.unpacker.copy()
+        try:
+            self.data += self.unpacker.decompress(chunk)
+            self.end += len(chunk) - len(self.unpacker.unused_data)
+        except zlib.error as error:
+            for i in range(len(chunk)):  # what there is before the damage
+                try:
+                    self.data += before.decompress(chunk[i : i + 1])
+                except zlib.error:
+                    break
+            self.error = str(error)
+        self.whole = self.unpacker.eof
+        if not chunk and not self.whole:
+            self.error = "cut short"
+        return True
+
+    def has(self, at: int, n: int) -> bool:
+        while len(self.data) < at - self.base + n and self._more():
+            pass
+        return len(self.data) >= at - self.base + n
+
+    def get(self, at: int, n: int) -> bytes:
+        """n bytes, fewer at the end."""
+        self.has(at, n)
+        return bytes(self.data[at - self.base : at - self.base + n])
+
+    def drop(self, at: int) -> None:
+        del self.data[: at - self.base]
+        self.base = at
+
+    def next_version(self, at: int) -> int:
+        """Where the next version line begins, or the end."""
+        while True:
+            if found := VERSION_LINE.search(self.data, max(0, at - 1 - self.base)):
+                return self.base + found.start() + 1
+            at = max(at, self.base + len(self.data) - 16)
+            if not self._more():
+                return self.base + len(self.data)
+            self.drop(max(self.base, at - 1))
+
+
 class Salvage:
     """Iterates over the records and gaps of one open file.  Memory: the
-    largest record, and READ_BYTES."""
+    largest record, and READ_BYTES.  Records that claim more than MOST_BYTES
+    are quarantined."""
 
     def __init__(self, source, size: int):
         self.source, self.size = source, size
@@ -113,35 +175,53 @@ class Salvage:
     def __iter__(self) -> Iterator[Record | Gap]:
         offset = 0
         while offset < self.size:
+            if self._at(offset, 3) == MEMBER:
+                offset = yield from self._member(offset)
+                continue
             try:
-                found, end = self._member(offset) if self._at(offset, 3) == MEMBER else self._plain(offset)
+                found, end = self._plain(offset)
                 yield from found
-                offset = end
-            except (ValueError, zlib.error) as error:
+            except ValueError as error:
                 end = self._next(offset + 1)
-                yield Gap(offset, end, str(error) or type(error).__name__)
-                offset = end
-
-    def _inflate(self, offset: int, most: int | None = None) -> tuple[bytes, int]:
-        unpacker, parts, at, total = zlib.decompressobj(31), [], offset, 0
-        while not unpacker.eof and (most is None or total < most):
-            chunk = self._at(at, 1 << 16)
-            if not chunk:
-                raise ValueError("cut short")
-            parts.append(unpacker.decompress(chunk, most or 0))
-            total += len(parts[-1])
-            at += len(chunk)
-        return b"".join(parts), at - len(unpacker.unused_data)
-
-    def _member(self, offset: int) -> tuple[list[Record], int]:
-        data, end = self._inflate(offset)
-        records, at = [], 0
-        while at < len(data):
-            record, at = parse(data, at, offset)
-            records.append(record)
-        if not records:
-            raise ValueError("empty member")
-        return records, end
+                yield Gap(offset, end, str(error))
+            offset = end
+
+    def _member(self, offset: int) -> Iterator[Record | Gap]:
+        """A member's records, each as it passes its checks; within it the
+        search goes on at the next version line.  Returns where to go on in
+        the file."""
+        data, at, n = Inflated(self, offset), 0, 0
+        while data.has(at, 1):
+            try:
+                record, end = self._record(data, at, offset)
+                yield record
+                n += 1
+            except ValueError as error:
+                end = data.next_version(at + 1)
+                if end == at + 1 or not data.has(end, 1) and not n and data.error:
+                    break
+                yield Gap(offset, offset, f"{error}; bytes {at} to {end} of the member's data")
+            at = end
+            data.drop(at)
+        if data.whole and not data.error and at:
+            return data.end
+        end = self._next(offset + 1)  # a cut member's data may have run on into the next one's
+        yield Gap(offset, end, f"{data.error or 'empty member'}; {n} records before")
+        return end
+
+    def _record(self, data: Inflated, at: int, offset: int) -> tuple[Record, int]:
+        n = 1 << 12
+        while (cut := (head := data.get(at, n)).find(b"\r\n\r\n")) < 0:
+            if len(head) < n or n >= 16 * READ_BYTES or not VERSION.match(head):
+                raise ValueError("header without end" if VERSION.match(head) else "no version line")
+            n *= 4
+        length = content_length(headers_of(head[:cut]))
+        record, size = parse(data.get(at, cut + 4 + length + 4), 0, offset)
+        return record, at + size
+
+    def _inflate(self, offset: int, most: int) -> bytes:
+        """The first bytes of a member's data."""
+        return zlib.decompressobj(31).decompress(self._at(offset, 1 << 12), most)
 
     def _plain(self, offset: int) -> tuple[list[Record], int]:
         n = READ_BYTES
@@ -168,7 +248,7 @@ class Salvage:
                 if self._at(base + mark, 3) != MEMBER:
                     return base + mark
                 try:
-                    if VERSION.match(self._inflate(base + mark, 16)[0]):
+                    if VERSION.match(self._inflate(base + mark, 16)):
                         return base + mark
                 except (ValueError, zlib.error):
                     pass
@@ -184,8 +264,10 @@ def headers_of(head: bytes) -> dict[str, str]:
 
 
 def content_length(headers: dict[str, str]) -> int:
-    if not (text := headers.get("content-length", "")).isdigit():
+    if not re.fullmatch("[0-9]{1,18}", text := headers.get("content-length", "")):
         raise ValueError("no content length")
+    if int(text) > MOST_BYTES:
+        raise ValueError("too long to hold")
     return int(text)
 
 
@@ -198,6 +280,8 @@ def parse(data: bytes, at: int, offset: int) -> tuple[Record, int]:
         raise ValueError("header without end")
     headers = headers_of(data[at:cut])
     end = cut + 4 + content_length(headers)
+    if "warc-type" not in headers or "warc-record-id" not in headers:
+        raise ValueError("no type or id")
     if data[end : end + 4] != b"\r\n\r\n":
         raise ValueError("block of another length")
     record = Record(offset, headers, data[cut + 4 : end])
@@ -218,10 +302,12 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, id_col: str =
     """
     rows = pages.select(F.col(id_col).cast("long").alias("i"), F.col(url_col).alias("u"), F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8").alias("p"))
     rows = rows.withColumn("d", F.sha1("p"))
-    kept = rows.groupBy("d").agg(F.max("i").alias("r"))
-    size = F.octet_length("p")
+    size, salts = F.octet_length("p"), 16  # keys that an often repeated payload's rows are dealt over
+    kept = rows.groupBy("d").agg(F.max("i").alias("r"), F.count("*").alias("m")).where("m > 1 and r is not null")
+    kept = kept.select("d", "r", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("z"))
     same = (size < min_bytes) | F.col("r").isNull() | F.coalesce(F.col("i") == F.col("r"), F.lit(False))
-    plan = rows.join(kept, "d").select("i", "u", F.unhex("d").alias("d"), size.alias("n"), F.when(same, F.col("p")).alias("p"), F.when(~same, F.col("r")).alias("r"))
+    dealt = rows.withColumn("z", F.pmod(F.xxhash64("i"), F.lit(salts)).cast("int")).join(kept, ["d", "z"], "left")
+    plan = dealt.select("i", "u", F.unhex("d").alias("d"), size.alias("n"), F.when(same, F.col("p")).alias("p"), F.when(~same, F.col("r")).alias("r"))
 
     def write(batches):
         part, k = TaskContext.get().partitionId(), 0
@@ -283,10 +369,11 @@ def page_row(record: Record) -> tuple:
     http, payload = record.http
     kind = h.get("warc-type")
     if kind == "revisit":
-        size, digest = int(http.get("content-length", 0)), h.get("warc-payload-digest", "").removeprefix("sha1:")
+        text = http.get("content-length", "")
+        size, digest = int(text) if re.fullmatch("[0-9]{1,18}", text) else None, h.get("warc-payload-digest", "").removeprefix("sha1:")
     else:
         size, digest = len(payload), digest_text(hashlib.sha1(payload).digest())
-    page = None if "page-id-null" in h or not h.get("warc-record-id", "").startswith("<urn:uuid:") else page_of(h["warc-record-id"])
+    page = None if "page-id-null" in h else page_of(h.get("warc-record-id", ""))
     refers = page_of(h["warc-refers-to"]) if "warc-refers-to" in h else None
     return page, h.get("warc-target-uri"), size, digest, kind, refers
 

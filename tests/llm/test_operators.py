@@ -211,6 +211,40 @@ def test_topk(spark):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def _salvaged(data):
+    import io
+
+    return list(warc.Salvage(io.BytesIO(data), len(data)))
+
+
+def test_warc_members_of_several_records():
+    made = [warc.record_bytes(i, f"http://h/{i}", hashlib.sha1(b"p%d" % i * 50).digest(), 2 * 50, b"p%d" % i * 50, None) for i in range(10)]
+    bad = made[4].replace(b"p4p4", b"p4p5", 1)
+    pages = lambda found: [warc.page_row(x)[0] for x in found if isinstance(x, warc.Record)]
+    found = _salvaged(warc.gzip_member(made[0] + bad + made[1]) + warc.gzip_member(made[2]))
+    assert pages(found) == [0, 1, 2] and [x.reason.split(";")[0] for x in found if isinstance(x, warc.Gap)] == ["payload digest differs"]
+    whole = warc.gzip_member(b"".join(made * 20))
+    found = _salvaged(whole[:-12])
+    assert pages(found) == list(range(10)) * 20 or len(pages(found)) >= 198
+    assert isinstance(found[-1], warc.Gap) and found[-1].end == len(whole) - 12
+    found = _salvaged(whole[:-12] + warc.gzip_member(made[7]))
+    assert pages(found)[-1] == 7 and len(pages(found)) >= 199
+    broken = bytearray(warc.gzip_member(b"".join(made)))
+    broken[len(broken) // 2] ^= 255
+    found = _salvaged(bytes(broken) + made[8] + b"junk" + made[9])
+    assert pages(found)[-2:] == [8, 9] and any(isinstance(x, warc.Gap) for x in found)
+
+
+def test_warc_foreign_headers():
+    head = "WARC/1.0\r\nWARC-Type: revisit\r\nWARC-Record-ID: {}\r\nWARC-Refers-To: <urn:other:1>\r\nContent-Length: {}\r\n\r\n"
+    block = b"HTTP/1.1 200 OK\r\nContent-Length: many\r\n\r\n"
+    for urn in ("<urn:uuid:not-one>", "<urn:uuid:12345678-1234-1234-1234-123456789abc>", ""):
+        (record,) = _salvaged(warc.gzip_member(head.format(urn, len(block)).encode() + block + b"\r\n\r\n"))
+        assert warc.page_row(record) == (None, None, None, "", "revisit", None)
+    (gap,) = _salvaged(b"WARC/1.0\r\nContent-Length: 99999999999999999999\r\n\r\nx")
+    assert isinstance(gap, warc.Gap)
+
+
 def test_warc_round_trip_and_salvage(spark, tmp_path):
     rows = [(1, "http://a/", "<p>é</p>"), (2, None, None), (3, "http://b/\r\nX: y", "<p>é</p>"), (4, "u", ""), (9, "u", "other"), (9, "u", "other"), (None, "n", "null id")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("d", F.lit(1))
