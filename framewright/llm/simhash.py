@@ -3,12 +3,14 @@
 The 64 bits of a fingerprint are three segments of 23, 23 and 18 bits (the
 last filled up with zeros).  The binary Golay code of length 23 is perfect:
 every segment value decodes to the one codeword within three errors, a 12-bit
-index.  Of two fingerprints that differ in at most three bits, at least two
-segments differ in at most one bit each (pigeonhole).  So a segment's keys are
-the indices of the value and of its one-bit neighbours (6 at most), and the
-keys of a pair of segments are their combinations: one of x's keys for one of
-the three pairs is y's own pair of indices.  Candidates are joined on these
-24-bit keys and verified by counting the differing bits.
+index.  A segment's keys are the indices of the value and of its one-bit
+neighbours, 6 at most; a value that differs in one bit has one of them as its
+own index.  Of two fingerprints that differ in at most three bits, either all
+three segments differ in at most one bit each, or one is equal and another
+differs in at most one (pigeonhole).  So the keys are the combinations of all
+three segments' keys, and, for each segment and each other, the segment's value
+with the other's keys: 36 and 35 bits.  Candidates are joined on these and
+verified by counting the differing bits.
 """
 
 from __future__ import annotations
@@ -23,44 +25,53 @@ from framewright.llm._components import components
 from framewright.llm._shared import stored, tidy
 
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
-PAIRS = ((0, 1), (0, 2), (1, 2))
+PAIRS = tuple((i, j) for i in range(3) for j in range(3) if i != j)
 GENERATOR = 0xAE3  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
 MOST = 3
 SEED = 42
 
-_TABLE: dict[str, np.ndarray] = {}
-
-
-def golay_index() -> np.ndarray:
-    """For each of the 2**23 values, the index of its nearest codeword."""
-    if "index" not in _TABLE:
-        syndromes = np.zeros(1, np.uint16)
-        for bit in range(23):
-            x = 1 << bit
-            for high in range(bit, 10, -1):
-                if x >> high & 1:
-                    x ^= GENERATOR << (high - 11)
-            syndromes = np.concatenate([syndromes, syndromes ^ np.uint16(x)])
-        ones = np.uint32(1) << np.arange(23, dtype=np.uint32)
-        errors = np.zeros(2048, np.uint32)
-        for a in range(23):
-            errors[syndromes[ones[a]]] = ones[a]
-            for b in range(a):
-                two = ones[a] | ones[b]
-                errors[syndromes[two]] = two
-                for c in range(b):
-                    errors[syndromes[two | ones[c]]] = two | ones[c]
-        values = np.arange(1 << 23, dtype=np.uint32)
-        _TABLE["index"] = ((values ^ errors[syndromes]) >> np.uint32(11)).astype(np.uint16)
-    return _TABLE["index"]
+
+def _syndromes() -> np.ndarray:
+    """Of each byte at each of three places."""
+    bit = np.zeros(24, np.uint16)
+    for i in range(23):
+        x = 1 << i
+        for high in range(i, 10, -1):
+            if x >> high & 1:
+                x ^= GENERATOR << (high - 11)
+        bit[i] = x
+    bits = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(bool)
+    return np.array([np.bitwise_xor.reduce(np.where(bits, bit[8 * k : 8 * k + 8], 0), axis=1) for k in range(3)], np.uint16)
+
+
+def _errors(of_byte: np.ndarray) -> np.ndarray:
+    """The error pattern of at most three bits for each syndrome."""
+    ones = np.uint32(1) << np.arange(23, dtype=np.uint32)
+    two = ones[:, None] | ones[None, :]
+    patterns = np.unique(np.concatenate([[np.uint32(0)], two.ravel(), (two[:, :, None] | ones).ravel()]))
+    errors = np.zeros(2048, np.uint32)
+    errors[_syndrome(patterns, of_byte)] = patterns
+    return errors
+
+
+def _syndrome(values: np.ndarray, of_byte: np.ndarray) -> np.ndarray:
+    return of_byte[0][values & 255] ^ of_byte[1][values >> 8 & 255] ^ of_byte[2][values >> 16]
+
+
+_OF_BYTE = _syndromes()
+_ERRORS = _errors(_OF_BYTE)
+
+
+def golay_index(values: np.ndarray) -> np.ndarray:
+    """The index of each 23-bit value's nearest codeword."""
+    return ((values ^ _ERRORS[_syndrome(values, _OF_BYTE)]) >> np.uint32(11)).astype(np.uint16)
 
 
 def segment_keys(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Indices (n, bits + 1) of the values (first) and their one-bit
     neighbours, and which of them are a row's first of their kind."""
-    index = golay_index()
     flips = np.concatenate([[0], 1 << np.arange(bits)]).astype(np.uint32)
-    keys = index[values[:, None] ^ flips[None, :]]
+    keys = golay_index(values[:, None] ^ flips[None, :])
     order = np.argsort(keys, axis=1, kind="stable")
     ranked = np.take_along_axis(keys, order, 1)
     fresh = np.ones_like(ranked, bool)
@@ -108,18 +119,23 @@ def _keys(fps: DataFrame, near: bool) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for low in range(0, batch.num_rows, 2048):
-                fp = batch.column(0).slice(low, 2048).to_numpy(zero_copy_only=False)
+            for low in range(0, batch.num_rows, 512):
+                fp = batch.column(0).slice(low, 512).to_numpy(zero_copy_only=False)
                 bits = fp.view(np.uint64)
                 parts = [((bits >> np.uint64(at)) & np.uint64((1 << n) - 1)).astype(np.uint32) for at, n in SEGMENTS]
-                if near:
-                    found = [segment_keys(x, n) for x, (_, n) in zip(parts, SEGMENTS, strict=True)]
-                else:
-                    found = [((k := golay_index()[x][:, None]), np.ones_like(k, bool)) for x in parts]
+                found = [segment_keys(x, n) for x, (_, n) in zip(parts, SEGMENTS, strict=True)]
+                if not near:
+                    found = [(keys[:, :1], new[:, :1]) for keys, new in found]
+                (ka, na), (kb, nb), (kc, nc) = [(k.astype(np.int64), new) for k, new in found]
+                row, i, j = np.nonzero(na[:, :, None] & nb[:, None, :])
+                two = ka[row, i] << 12 | kb[row, j]
+                at, m = np.nonzero(nc[row])
+                rows, keys = [row[at]], [two[at] << 12 | kc[row[at], m]]
                 for p, (a, b) in enumerate(PAIRS):
-                    row, i, j = np.nonzero(found[a][1][:, :, None] & found[b][1][:, None, :])
-                    key = (np.int64(p) << 24) | (found[a][0][row, i].astype(np.int64) << 12) | found[b][0][row, j]
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[row])], names=["k", "fp"])
+                    row, j = np.nonzero(found[b][1])
+                    rows.append(row)
+                    keys.append(np.int64(p + 1) << 36 | parts[a][row].astype(np.int64) << 12 | found[b][0][row, j].astype(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(fp[np.concatenate(rows)])], names=["k", "fp"])
 
     return fps.mapInArrow(tidy(run), "k long, fp long")
 
@@ -129,6 +145,8 @@ def links(fps: DataFrame, most: int = MOST) -> DataFrame:
     most ``most`` bits; most is 3 or less."""
     if not 0 <= most <= 3:
         raise ValueError("the code finds up to 3 differing bits")
+    # spread over all tasks, as a few bytes grow to some 250 rows
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     near = _keys(fps, True).withColumnRenamed("fp", "a")
     own = _keys(fps, False).withColumnRenamed("fp", "b")
     close = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most)

@@ -132,12 +132,50 @@ def test_url_filter(spark, sf):
     assert got[8][3] == "block" and got[9] == ("history.example.net", "/en/4\nz", None, "allow") and len(rows) == len(urls)
 
 
+def test_golay_code_is_perfect():
+    """Each of 4,096 codewords is nearest to all 2,048 values within 3 bits."""
+    values = np.arange(1 << 23, dtype=np.uint32)
+    index = simhash.golay_index(values)
+    assert (np.bincount(index, minlength=4096) == 2048).all()
+    word = np.zeros(4096, np.uint32)
+    errors = simhash._ERRORS[simhash._syndrome(values, simhash._OF_BYTE)]
+    word[index] = values ^ errors
+    assert np.bitwise_count(values ^ word[index]).max() == 3
+
+
+def test_simhash_equals_brute_force(spark, sf):
+    import xxhash
+
+    docs = spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    want = {}
+    for r in docs.collect():
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or ""))
+        found = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+        h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in found]
+        want[r.doc_id] = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+    ids = sorted(want)
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    fps = np.array([want[i] for i in ids], np.uint64)
+    for n, i in enumerate(ids):
+        for m in np.flatnonzero(np.bitwise_count(fps[:n] ^ fps[n]) <= 3):
+            a, b = sorted((find(i), find(ids[m])))
+            root[b] = a
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    assert got == {i: (f"{want[i]:016x}", find(i)) for i in ids}
+
+
 def test_simhash(spark, odd, sf):
-    index = simhash.golay_index()
     rng = np.random.default_rng(2)
     for x in rng.integers(0, 1 << 23, 50):
         keys, _ = simhash.segment_keys(np.array([x], np.uint32), 23)
-        assert all(index[x ^ (1 << b)] in keys[0] for b in range(23)) and len(set(keys[0].tolist())) <= 6
+        flipped = simhash.golay_index(np.array([x ^ (1 << b) for b in range(23)], np.uint32))
+        assert set(flipped.tolist()) <= set(keys[0].tolist()) and len(set(keys[0].tolist())) <= 6
     base = rng.integers(0, 2**63, 60, dtype=np.int64)
     near = [int(b) ^ (1 << int(i)) ^ (1 << int(j)) ^ (1 << int(k)) for b in base for i, j, k in rng.integers(0, 63, (4, 3))]
     fps = sorted({*base.tolist(), *near})
