@@ -146,7 +146,7 @@ def links(fps: DataFrame, most: int = MOST) -> DataFrame:
     if not 0 <= most <= 3:
         raise ValueError("the code finds up to 3 differing bits")
     # spread over all tasks, as a few bytes grow to some 250 rows
-    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     near = _keys(fps, True).withColumnRenamed("fp", "a")
     own = _keys(fps, False).withColumnRenamed("fp", "b")
     close = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most)
