@@ -194,6 +194,11 @@ class _Rows:
         return np.repeat(np.arange(self.n), 3), self.meta.ravel(), np.zeros((self.n, 0))
 
 
+def _both(y: np.ndarray) -> bool:
+    """Whether there are documents of either class to calibrate on."""
+    return 0 < y.sum() < len(y)
+
+
 def _in_ratio(y: np.ndarray, share: float) -> np.ndarray:
     """As many of either class, the surest first, as keeps their ratio."""
     ones, rest = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
@@ -217,7 +222,7 @@ def cotrained(labelled: pa.Table, surest: Callable, targets: tuple[str, ...]) ->
     features = train.select(["f", "d", "m"])
     a, b = _Rows(first), _Rows(second)
     models = {(t, v): _trained(v, features, truth[t][0]) for t in targets for v in (0, 1)}
-    own = {(t, v): calibrated(models[t, v].score(*a.view(v))[:, None], truth[t][1]) for t, v in models}
+    own = {(t, v): calibrated(models[t, v].score(*a.view(v))[:, None], truth[t][1]) if _both(truth[t][1]) else np.array([1.0, 0.0]) for t, v in models}
     for k in range(ROUNDS):
         found = surest(models, own, MOST_NEW * (k + 1))
         for t in targets:
@@ -228,12 +233,16 @@ def cotrained(labelled: pa.Table, surest: Callable, targets: tuple[str, ...]) ->
                 if len(some):
                     new = new.take(pa.array(some)).select(["f", "d", "m"]).cast(features.schema)
                     models[t, v] = _trained(v, pa.concat_tables([features, new]), np.concatenate([truth[t][0], y[some]]))
-        own = {(t, v): calibrated(models[t, v].score(*a.view(v))[:, None], truth[t][1]) for t, v in models}
+        own = {(t, v): calibrated(models[t, v].score(*a.view(v))[:, None], truth[t][1]) if _both(truth[t][1]) else np.array([1.0, 0.0]) for t, v in models}
         del found
     judges = {}
     for t in targets:
         judge = Judge(models[t, 0], models[t, 1], (own[t, 0], own[t, 1]), np.zeros(3))
-        judge.mix = calibrated(judge.views(*b.view(0), b.meta), truth[t][2])
+        whole = np.concatenate(truth[t])
+        if 0 < whole.sum() < len(whole):
+            judge.mix = calibrated(judge.views(*b.view(0), b.meta), truth[t][2]) if _both(truth[t][2]) else np.array([0.5, 0.5, 0.0])
+        else:  # nothing to tell apart
+            judge.mix = np.array([0.0, 0.0, np.log((whole.sum() + 0.5) / (len(whole) - whole.sum() + 0.5))])
         judges[t] = judge
     return Model(judges)
 
@@ -264,7 +273,9 @@ def _features(rows: DataFrame, extra: list[str]) -> DataFrame:
 def trained(docs: DataFrame, labels: DataFrame, n_labelled: int = LABELLED, n_pool: int = POOL, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
     """Co-train on a sample.  Labels of null ids or with a null target are left
     out; of several for one id the worse counts; rows that share a labelled id
-    are all labelled.  None if no document is labelled."""
+    are all labelled.  None if no document is labelled.  A target of which the
+    sample has one class alone has that class's share as its score; one whose
+    held-out documents are of one class goes uncalibrated."""
     order = F.xxhash64(F.lit(7), "i")
     marks = labels.select(F.col(id_col).cast("long").alias("i"), (F.col("quality") == 0).cast("int").alias("low"), F.col("toxic").cast("int").alias("toxic")).dropna()
     marks = marks.groupBy("i").agg(F.max("low").alias("low"), F.max("toxic").alias("toxic")).orderBy(order, "i").limit(n_labelled)
