@@ -77,11 +77,16 @@ def prepared(spark: SparkSession) -> None:
         spark.conf.set(BATCH, str(BATCH_BYTES))
 
 
-def tidy(run: Callable) -> Callable:
+def tidy(run: Callable, encodes: bool = False) -> Callable:
     """A function for mapInArrow that gives its memory back to the system at
-    the end of a task, as the worker is used again."""
+    the end of a task, as the worker is used again.  Words that tokenizers
+    remember stay for other tasks that encode."""
 
     def tidied(batches):
+        import sys
+
+        if not encodes and "framewright.llm._tokens" in sys.modules:
+            sys.modules["framewright.llm._tokens"].release()
         try:
             yield from run(batches)
         finally:

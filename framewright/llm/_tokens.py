@@ -20,7 +20,7 @@ import pyarrow as pa
 
 from framewright.llm._text import LOWER, Words, mix, string_parts, spans_of, words_of
 
-WORD_LIMIT = 1 << 20  # remembered words per Python worker: some 45 MB of arrays
+WORD_LIMIT = 1 << 20  # remembered words per Python worker: some 60 MB of arrays
 _LOADED: dict[str, "WordEncoder"] = {}
 _U = np.uint64
 
@@ -33,6 +33,11 @@ def word_encoder(path: str) -> "WordEncoder":
     return _LOADED[path]
 
 
+def release() -> None:
+    """Forget all encoders of this process."""
+    _LOADED.clear()
+
+
 class HashIndex:
     """Slots of 64-bit hashes by linear probing, many at once."""
 

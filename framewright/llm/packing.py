@@ -61,7 +61,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col:
                 row += n
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(source_col).cast("string"), F.col(text_col))
-    return stored(rows.mapInArrow(tidy(encode), "part long, doc_id long, source string, n_tokens long, ids binary, row long"), "packing")
+    return stored(rows.mapInArrow(tidy(encode, encodes=True), "part long, doc_id long, source string, n_tokens long, ids binary, row long"), "packing")
 
 
 class Mixer:

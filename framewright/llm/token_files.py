@@ -212,7 +212,7 @@ def write_token_files(
 
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
     key = F.xxhash64("t")
-    made = rows.repartitionByRange("i", key).sortWithinPartitions("i", key).mapInArrow(tidy(write), "part long, file string, n long").collect()
+    made = rows.repartitionByRange("i", key).sortWithinPartitions("i", key).mapInArrow(tidy(write, encodes=True), "part long, file string, n long").collect()
     return [(x["file"], x["n"]) for x in sorted(made)]
 
 
