@@ -2,8 +2,8 @@
 
 Words are hashed into 2**BITS buckets.  Document frequencies come from all
 documents.  A distributed randomised SVD of TF-IDF passages (Gaussian sketch,
-then one subspace iteration) gives RANK latent directions; it is fitted on a
-sample of the documents that grows with them and on all items of the benchmark.
+then one subspace iteration) gives RANK latent directions; it is fitted on all
+documents and all items of the benchmark, from a table of the words' buckets.
 Passages begin at multiples of 8 words.  An item's passages are compared with
 it by cosine, at its own length and at half of it; those of COSINE and more are
 candidates.  They are verified on their words and 8 on either side: the longest
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewright.llm._shared import tidy, trim
+from framewright.llm._shared import forget, stored, tidy, trim
 from framewright.llm._text import Words, mix, words_of
 from framewright.llm._tokens import HashIndex
 
@@ -31,9 +31,8 @@ SIZE = 1 << BITS
 RANK = 64
 LEAD = 8  # leading directions left out: they tell languages and common words apart
 SKETCH = 80
-SAMPLE_DOCS = 4000  # documents, at least, that the latent directions are fitted on
-SAMPLE_PART = 16  # one in so many of a larger input
 PASSAGE = 32
+FIT_BYTES = 64 << 20  # of the words' buckets, in about one task that fits
 UNIT = 4  # words; passages begin and end at its multiples
 COSINE = 0.25  # least of a candidate; 0.999 of what the rules below accept has more
 SHARE = 0.7  # of an item's words in common order
@@ -86,61 +85,94 @@ def _slots(total: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(range(SLOTS), pa.int64()), pa.array([x.tobytes() for x in np.split(total, SLOTS)], pa.binary())], names=["slot", "v"])
 
 
-def document_frequencies(texts: DataFrame) -> np.ndarray:
-    """Documents that hold each bucket, over all rows."""
+def coded(texts: DataFrame, name: str) -> DataFrame:
+    """(at, first) of texts (t), a row for some whole texts: their words' buckets
+    and where each text's begin, as 16-bit and 32-bit integers."""
 
     def run(batches):
-        total = np.zeros(SIZE, np.int64)
         for batch in batches:
             for words in words_of(batch.column(0), lower=True):
                 if len(words.start):
-                    flat = pd.unique(words.row.astype(np.int64) << BITS | buckets(stems(words)))
-                    total += np.bincount(flat & (SIZE - 1), minlength=SIZE)
+                    yield pa.RecordBatch.from_pydict({"at": [buckets(stems(words)).astype("<u2").tobytes()], "first": [words.first.astype("<i4").tobytes()]})
+
+    return stored(texts.mapInArrow(tidy(run), "at binary, first binary"), name)
+
+
+def _arrays(batch: pa.RecordBatch):
+    """The arrays (at, first) of each row."""
+    for at, first in zip(batch.column(0), batch.column(1), strict=True):
+        yield np.frombuffer(at.as_buffer(), "<u2"), np.frombuffer(first.as_buffer(), "<i4")
+
+
+def document_frequencies(texts: DataFrame) -> np.ndarray:
+    """Documents that hold each bucket, over all coded texts."""
+
+    def run(batches):
+        total = np.zeros(SIZE, np.int64)
+        for batch in batches:
+            for at, first in _arrays(batch):
+                flat = pd.unique(np.repeat(np.arange(len(first) - 1), np.diff(first)) << BITS | at)
+                total += np.bincount(flat & (SIZE - 1), minlength=SIZE)
         yield _slots(total)
 
     found = _summed(texts.mapInArrow(tidy(run), "slot long, v binary"), "<i8")
     return found if len(found) else np.zeros(SIZE, np.int64)
 
 
-def latent(texts: DataFrame, items: DataFrame, idf: np.ndarray, n: int, sample_docs: int) -> np.ndarray:
-    """(SIZE, RANK): right singular vectors of the TF-IDF passages of a sample
-    of the texts (i, t), drawn by id and text, so that a text's copies are drawn
-    one by one, and of all items (t), a passage each."""
-    sample_docs = max(sample_docs, n // SAMPLE_PART)
-    if n > sample_docs:
-        texts = texts.where(F.pmod(F.xxhash64(F.lit(3), "i", "t"), F.lit(1_000_003)) < int(1_000_003 * sample_docs / n))
-        texts = texts.repartition(max(4, sample_docs // 1000))
+def _lefts(at: np.ndarray, first: np.ndarray | None, weighed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(left, passage): each passage's sum of the rows ``weighed``, at length 1,
+    and the passage of each word: PASSAGE words each, or as ``first`` says."""
+    if first is not None:
+        cuts = np.unique(first[:-1][np.diff(first) > 0])
+        passage = np.repeat(np.arange(len(cuts)), np.diff(np.append(cuts, len(at))))
+        left = np.add.reduceat(weighed[at], cuts, axis=0)
     else:
-        texts = texts.repartition(4)
-    rows = texts.select("t", F.lit(False).alias("item")).union(items.where("t is not null").distinct().select("t", F.lit(True)))
-
-    def passages(batches):
-        for batch in batches:
-            whole = batch.column(1).to_numpy(zero_copy_only=False)
-            for words in words_of(batch.column(0), lower=True):
-                own = whole[words.low + words.row]
-                yield buckets(stems(words)), np.cumsum(np.where(own, np.diff(words.row, prepend=-1) > 0, np.arange(len(own)) % PASSAGE == 0)) - 1
-
-    def sketch(at: np.ndarray, passage: np.ndarray, right: np.ndarray, total: np.ndarray) -> None:
-        """total += A^T (A right), for the passages' TF-IDF rows A."""
-        if len(at):
-            w = idf[at][:, None]
-            left = np.zeros((passage[-1] + 1, right.shape[1]), np.float32)
-            cuts = np.flatnonzero(np.diff(passage, prepend=-1))
-            left[passage[cuts]] = np.add.reduceat(right[at] * w, cuts, axis=0)
-            left /= np.maximum(np.linalg.norm(left, axis=1, keepdims=True), 1e-6)
-            order = np.argsort(at, kind="stable")
-            cuts = np.flatnonzero(np.diff(at[order], prepend=-1))
-            total[at[order][cuts]] += np.add.reduceat(left[passage[order]] * w[order], cuts, axis=0)
-
+        passage = np.arange(len(at)) // PASSAGE
+        left = np.zeros((passage[-1] + 1, weighed.shape[1]), np.float32)
+        full, step, one = len(at) // PASSAGE, 32, np.ones((1, PASSAGE), np.float32)
+        held = np.empty((step * PASSAGE, weighed.shape[1]), np.float32)
+        for low in range(0, full, step):
+            some = at[low * PASSAGE : min(low + step, full) * PASSAGE]
+            np.take(weighed, some, axis=0, out=held[: len(some)], mode="clip")
+            left[low : low + len(some) // PASSAGE] = np.matmul(one, held[: len(some)].reshape(-1, PASSAGE, weighed.shape[1]))[:, 0]
+        if full * PASSAGE < len(at):
+            left[full] = weighed[at[full * PASSAGE :]].sum(0)
+    left /= np.maximum(np.sqrt(np.einsum("ij,ij->i", left, left)), 1e-6)[:, None]
+    return left, passage
+
+
+def _sketch(at: np.ndarray, first: np.ndarray | None, weighed: np.ndarray, total: np.ndarray) -> None:
+    """Adds to each bucket of ``total`` its words' passages, from ``_lefts``."""
+    left, passage = _lefts(at, first, weighed)
+    order = np.argsort(at, kind="stable")
+    at, passage = at[order], passage[order]
+    new = np.diff(at.astype(np.int32), prepend=-1) != 0
+    step = 512
+    held = np.empty((step, left.shape[1]), np.float32)
+    for low in range(0, len(at), step):
+        part = passage[low : low + step]
+        np.take(left, part, axis=0, out=held[: len(part)], mode="clip")
+        cuts = np.flatnonzero(new[low : low + step])
+        if not len(cuts) or cuts[0]:
+            cuts = np.append(0, cuts)
+        total[at[low + cuts]] += np.add.reduceat(held[: len(part)], cuts, axis=0)
+
+
+def latent(texts: DataFrame, items: DataFrame, idf: np.ndarray, size: int) -> np.ndarray:
+    """(SIZE, RANK): right singular vectors of the TF-IDF passages of the texts
+    and of the items, a passage each, both coded; size: bytes of the texts'
+    buckets, about."""
+    tasks = max(texts.sparkSession.sparkContext.defaultParallelism, size // FIT_BYTES)
+    rows = texts.select("at", F.lit(None).cast("binary").alias("first")).coalesce(tasks).union(items)
     right = np.random.default_rng(11).standard_normal((SIZE, SKETCH)).astype(np.float32)
     for _ in range(2):
 
-        def run(batches, right=right):
+        def run(batches, weighed=right * idf[:, None]):
             total = np.zeros((SIZE, SKETCH), np.float32)
-            for at, passage in passages(batches):
-                sketch(at, passage, right, total)
-            yield _slots(total.ravel())
+            for batch in batches:
+                for at, first in zip(batch.column(0), batch.column(1), strict=True):
+                    _sketch(np.frombuffer(at.as_buffer(), "<u2"), np.frombuffer(first.as_buffer(), "<i4") if first.is_valid else None, weighed, total)
+            yield _slots((total * idf[:, None]).ravel())
 
         total = _summed(rows.mapInArrow(tidy(run), "slot long, v binary"), "<f4").reshape(-1, SKETCH).copy()
         if not len(total):
@@ -199,7 +231,7 @@ def _items(benchmark: DataFrame) -> list[Item]:
     return out
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, sample_docs: int | None = None, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, cosine, lcs, answer): the documents that hold a
     benchmark item, each with its best figures for it.
 
@@ -208,7 +240,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
     best figures of any of them.  The benchmark is searched in blocks of about
     ITEM_BYTES of text, so what a task holds of it is bounded; each block reads
     the documents once.  All share one set of latent directions, fitted on all
-    items, so the blocks don't change what is found.
+    items, so the blocks don't change what is found.  ``sample_docs``: fit on
+    about so many documents, drawn by id and text, instead of all.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
     schema = "doc_id long, item_id long, cosine double, lcs double, answer double"
@@ -218,7 +251,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
     return out.groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in ("cosine", "lcs", "answer")])
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, sample_docs: int | None = None, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows and columns of docs without the rows that hold an item, each
     row by its own text, whatever its id.  No shuffle of the documents."""
     rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
@@ -234,16 +267,21 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE
     return docs
 
 
-def _searches(rows: DataFrame, benchmark: DataFrame, cosine: float, sample_docs: int) -> list:
+def _searches(rows: DataFrame, benchmark: DataFrame, cosine: float, sample_docs: int | None) -> list:
     """For each block of the benchmark (i, t) a function that searches texts;
     rows: (i, t) of the documents."""
     size = benchmark.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = rows.count()
     if not n or not size:
         return []
-    df = document_frequencies(rows.select("t"))
+    texts, whole = coded(rows.select("t"), "buckets"), coded(benchmark.select("t").where("t is not null").distinct(), "items")
+    df = document_frequencies(texts)
     idf = np.log((n + 1) / (df + 0.5)).clip(0.05).astype(np.float32)
-    vectors = latent(rows, benchmark.select("t"), idf, n, sample_docs)
+    if sample_docs is not None and n > sample_docs:
+        forget(rows.sparkSession, texts)
+        texts = coded(rows.where(F.pmod(F.xxhash64(F.lit(3), "i", "t"), F.lit(1_000_003)) < int(1_000_003 * sample_docs / n)).select("t"), "buckets")
+    vectors = latent(texts, whole, idf, texts.agg(F.sum(F.octet_length("at"))).first()[0] or 0)
+    forget(rows.sparkSession, texts, whole)
     vectors = (vectors * idf[:, None]).astype(np.float32)
     blocks = -(-size // ITEM_BYTES)
     part = F.pmod(F.xxhash64("i", "t"), F.lit(blocks))

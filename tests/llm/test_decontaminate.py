@@ -79,3 +79,39 @@ def test_all_items_are_fitted(plants, spark, monkeypatch):
     assert not empty
     got = recall(found, wanted)
     assert min(got.values()) >= 0.97 and {(2 * 10**6 + i, i) for i, _ in rare} <= found, got
+
+
+def test_all_documents_are_fitted(spark):
+    """A direction of many documents' own words is found, whichever they are."""
+    texts = [" ".join(f"u{i}x{j}" for j in range(12)) for i in range(6_000)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "an item of other words than these are")], "item_id long, text string")
+    seen = {}
+    search = dc._search
+    try:
+        dc._search = lambda block, vectors, df, least: seen.update(v=vectors) or search(block, vectors, df, least)
+        dc.contaminated(docs, items)
+    finally:
+        dc._search = search
+    held = np.zeros(dc.SIZE, bool)
+    held[dc.buckets(np.concatenate([dc.stems(next(words_of(pa.array([t])))) for t in texts]))] = True
+    norm = np.linalg.norm(seen["v"], axis=1)
+    assert (norm[held] > 0).all()
+    some = dc.coded(docs.select("text"), "buckets")
+    assert sum(len(at) // 2 for (at, _) in some.collect()) == 6_000 * 12 and (dc.document_frequencies(some)[held] > 0).all()
+
+
+def test_sketch_equals_plain_sums():
+    rng = np.random.default_rng(3)
+    at = rng.integers(0, 900, 3_011).astype(np.uint16)
+    first = np.array([0, 0, 700, 700, 2_000, 3_011], np.int32)
+    weighed = rng.standard_normal((dc.SIZE, 5)).astype(np.float32)
+    for cut in (None, first):
+        passage = np.arange(len(at)) // dc.PASSAGE if cut is None else np.repeat(np.arange(5), np.diff(first))
+        left = np.zeros((passage.max() + 1, 5))
+        np.add.at(left, passage, weighed[at])
+        left /= np.maximum(np.linalg.norm(left, axis=1, keepdims=True), 1e-6)
+        want, got = np.zeros((dc.SIZE, 5)), np.zeros((dc.SIZE, 5), np.float32)
+        np.add.at(want, at, left[passage])
+        dc._sketch(at, cut, weighed, got)
+        assert np.allclose(want, got, atol=1e-3)
