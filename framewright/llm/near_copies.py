@@ -5,8 +5,11 @@ in one of BANDS bands of DEEP values with probability 0.9996.  (Two 64-bit
 SimHashes differ in ten bits at that similarity, far beyond the Golay keys.)
 Each candidate pair is verified on its whole sets of shingles.  First each node
 is compared with one node of its bands.  What is apart still within a band
-meets by its rarest shingles alone: sets that are alike have one of them in common, so nothing is
-lost, and a band of many nodes that aren't alike makes few pairs.
+meets by its rarest shingles alone: sets that are alike have one of them
+in common, so nothing is lost.  As only components are wanted, rounds come
+first in which each node is compared with a few others that share such shingles
+and aren't linked to it; what these link needs no pairs of its own, and all
+pairs of the rest are verified at the end.
 """
 
 from __future__ import annotations
@@ -18,13 +21,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framewright.llm._components import components
-from framewright.llm._shared import stored, tidy
+from framewright.llm._shared import forget, stored, tidy
 from framewright.llm._text import Words, grams, mix, words_of
 
 SHINGLE = 5
 LEAST = 0.8
 BANDS = 20
 DEEP = 5
+ROUNDS = 6  # at most, before all pairs that are left
+PARTNERS = 3  # of a node in a round
+FEW = 8  # pairs left for each row of the prefixes, at which the rounds end
 
 _RNG = np.random.Generator(np.random.PCG64(823))
 _TIMES = _RNG.integers(1, 2**63, BANDS * DEEP, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -122,28 +128,75 @@ def _apart(keys: DataFrame, roots: DataFrame) -> DataFrame:
     return placed.join(bands, "k", "left_semi")
 
 
-def _by_prefix(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of nodes (node, root) of different roots that may be alike,
-    a superset of those that are: with their shingles in one order, the rarest
-    first, the first 1 - ``least`` of the larger set and the first
-    (1 - least) / (1 + least) of the smaller one have one in common, and from
-    the first such on both have as many left as it takes."""
-    dense = stored(nodes.join(sets, "node"), "dense")
+def _prefixes(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(node, n, s, left, short) of the nodes' rarest shingles s: with shingles
+    in one order, the rarest first, of sets that are alike the first
+    1 - ``least`` of the larger one and the first (1 - least) / (1 + least) of
+    the smaller one (short) have one in common, and from the first such on both
+    have as many left as it takes."""
+    dense = stored(nodes.select("node").join(sets, "node"), "dense")
     each = dense.select("node", F.explode("shingles").alias("s"))
     shared = each.groupBy("s").agg(F.count("*").alias("c")).where("c > 1")
     ranked = each.join(shared, "s").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("c", "s"))).alias("held"))
-    ranked = stored(dense.select("node", "root", "n").join(ranked, "node"), "ranked")
-    alone = F.col("n") - F.size("held")
-
-    def prefix(share: float, name: str) -> DataFrame:
-        length = F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1 - alone
-        rows = ranked.select(F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.col("root").alias(f"r{name}"), alone.alias("u"), F.posexplode(F.slice("held", F.lit(1), F.greatest(length, F.lit(0)).cast("int"))).alias("i", "e"))
-        return rows.select(name, f"n{name}", f"r{name}", (F.col(f"n{name}") - F.col("u") - F.col("i")).alias(f"l{name}"), F.col("e.s").alias("s"))
-
+    ranked = dense.select("node", "n").join(ranked, "node").withColumn("u", F.col("n") - F.size("held"))
+
+    def length(share: float) -> F.Column:
+        return F.greatest(F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1 - F.col("u"), F.lit(0)).cast("int")
+
+    rows = ranked.select("node", "n", "u", length(2 * least / (1 + least)).alias("few"), F.posexplode(F.slice("held", F.lit(1), length(least))).alias("i", "e"))
+    return stored(rows.select("node", "n", F.col("e.s").alias("s"), (F.col("n") - F.col("u") - F.col("i")).alias("left"), (F.col("i") < F.col("few")).alias("short")), "prefixes")
+
+
+def _some(rows: DataFrame, turn: int, least: float) -> DataFrame:
+    """Pairs (a, b): for each node of rows (s, node, root, n) up to PARTNERS of
+    other roots.  Each shingle offers a node of one root, and one of another to
+    that root's nodes, drawn anew each turn; a node takes those that come with
+    most of its shingles."""
+    me = F.struct(F.xxhash64(F.lit(turn), "s", "root").alias("of"), F.xxhash64(F.lit(turn), "s", "node").alias("at"), "node", "root", "n")
+    ends = rows.groupBy("s").agg(F.min(me).alias("lo"), F.max(me).alias("hi"))
+    met = rows.join(ends, "s").withColumn("o", F.when(F.col("root") != F.col("lo.root"), F.col("lo")).otherwise(F.col("hi")))
+    met = met.where((F.col("root") != F.col("o.root")) & (F.least("n", "o.n") >= F.lit(least) * F.greatest("n", "o.n") - 1e-9))
+    met = met.groupBy("node", F.col("o.node").alias("other")).agg(F.count("*").alias("c"))
+    best = met.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("c", F.xxhash64(F.lit(turn), "node", "other").alias("at"), "other")), False), 1, PARTNERS).alias("x"))
+    best = best.select("node", F.explode("x.other").alias("other"))
+    return best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Roots (node, root), each replaced by the least that a link leads to."""
+    ends = links.join(roots.select(F.col("node").alias("a"), F.col("root").alias("v")), "a").join(roots.select(F.col("node").alias("b"), F.col("root").alias("w")), "b")
+    least = ends.select(F.explode(F.array(F.struct("v", "w"), F.struct(F.col("w").alias("v"), F.col("v").alias("w")))).alias("e")).select("e.*").groupBy("v").agg(F.min("w").alias("m")).where("m < v")
+    for _ in range(2):  # and on from there
+        roots = roots.join(least.withColumnRenamed("v", "root"), "root", "left").select("node", F.coalesce("m", "root").alias("root"))
+    return stored(roots, "roots")
+
+
+def _rest(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between nodes (node, root) that join all components which
+    pairs of similarity ``least`` or more make."""
+    roots, links = stored(nodes, "roots"), None
+    held = _prefixes(roots, sets, least)
+    for turn in range(ROUNDS):
+        rows = held.join(roots, "node")
+        apart = rows.groupBy("s").agg(F.min("root").alias("r"), F.max("root").alias("z")).where("r < z").select("s")
+        before, held = held, stored(held.join(apart, "s", "left_semi"), "prefixes")
+        forget(nodes.sparkSession, before)
+        rows = held.join(roots, "node")
+        of_root = rows.groupBy("s", "root").agg(F.count("*").cast("double").alias("c")).groupBy("s").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("own"))
+        n, left = of_root.agg(F.sum("c"), F.sum(F.col("c") * F.col("c") - F.col("own")) / 2).first()
+        if not n or turn > 1 and left <= FEW * n:
+            break
+        found = stored(_alike(_some(rows, turn, least), sets, least), "links")
+        links = links.union(found) if links is not None else found
+        if found.isEmpty():
+            break
+        roots = _merged(roots, found)
+    x, y = (held.join(roots, "node").select("s", F.col("node").alias(e), F.col("n").alias(f"n{e}"), F.col("root").alias(f"r{e}"), F.col("left").alias(f"l{e}"), F.col("short").alias(f"short{e}")) for e in "xy")
     sizes = (F.struct("nx", "x") < F.struct("ny", "y")) & (F.col("nx") >= F.lit(least) * F.col("ny") - 1e-9)
     enough = F.least("lx", "ly") >= F.lit(least / (1 + least)) * (F.col("nx") + F.col("ny")) - 1e-9  # from there on
-    pairs = prefix(2 * least / (1 + least), "x").join(prefix(least, "y"), "s").where(sizes & enough & (F.col("rx") != F.col("ry")))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    pairs = x.where("shortx").join(y, "s").where(sizes & enough & (F.col("rx") != F.col("ry")))
+    found = _alike(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), sets, least)
+    return links.union(found) if links is not None else found
 
 
 def _groups(docs: DataFrame, least: float, shingle: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -157,12 +210,10 @@ def _groups(docs: DataFrame, least: float, shingle: int, id_col: str, text_col:
     texts = with_node(docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")), shingle, "t")
     texts = texts.join(wanted, (F.col("__node") == F.col("node")) & F.col("i").eqNullSafe(F.col("least"))).groupBy("node").agg(F.first("t").alias("t"))
     sets = stored(_sets(texts, shingle), "shingles")
-    pivots = keys.groupBy("k").agg(F.min("node").alias("a"))
-    pairs = keys.select("k", "node").join(pivots, "k").groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a")).where("a <> b").select("a", "b")
+    pairs = keys.groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a")).where("a <> b").select("a", "b")
     links = stored(_alike(pairs, sets, least), "links")
     apart = _apart(keys, components(links)).select("node", "root").distinct()
-    more = _alike(_by_prefix(apart, sets, least), sets, least)
-    roots = components(stored(links.union(more), "links"))
+    roots = components(stored(links.union(_rest(apart, sets, least)), "links"))
     named = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     least_id = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return marks.select("doc_id", "node"), named.join(least_id, "root")

@@ -66,3 +66,24 @@ def test_stage_removes_near_copies_only(spark, sf):
 
 def test_no_rows(spark):
     assert near_copies.near_copies(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def edited(n, words, share, seed):
+    """n texts of one text with a share of its words replaced."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{i}" for i in range(words)]
+    return [(i, " ".join(f"o{i}x{j}" if rng.random() < share else x for j, x in enumerate(base))) for i in range(n)]
+
+
+def test_a_large_group_makes_few_pairs(spark, monkeypatch):
+    """Rounds of a few partners each leave few pairs; all at once were 34,207."""
+    verify, made = near_copies._alike, []
+
+    def counted(pairs, sets, least):
+        made.append(pairs.count())
+        return verify(pairs, sets, least)
+
+    monkeypatch.setattr(near_copies, "_alike", counted)
+    rows = edited(600, 150, 0.012, 5)
+    got = {r.doc_id: r.component_id for r in near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_force(rows) and max(made) < 30 * len(rows), made
