@@ -35,8 +35,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, similarity 0.8)
-    one row stays, of the least document id.  Texts without words, null ones
+    """Of each group of near-duplicates one row stays, of the least document id.
+    Candidates are op8's, SimHashes within three bits by Golay keys, and more by
+    MinHash; links are those of five-word similarity 0.8 or more.  Texts without words, null ones
     too, are one group; so are rows that repeat an id and a text."""
     _begin(spark)
     return near_copies.representatives(docs)

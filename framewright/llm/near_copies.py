@@ -1,11 +1,14 @@
-"""Near-copies by exact Jaccard similarity of word shingles.
-
-Candidates share a band of a MinHash signature: at similarity 0.8 a pair meets
-in one of BANDS bands of DEEP values with probability 0.9996.  (Two 64-bit
-SimHashes differ in ten bits at that similarity, far beyond the Golay keys.)
-Each candidate pair is verified on its whole sets of shingles.  First each node
-is compared with one node of its bands.  What is apart still within a band
-meets by its rarest shingles alone: sets that are alike have one of them
+"""Near-copies by SimHash and MinHash candidates, verified by exact Jaccard
+similarity of word shingles.
+
+Candidates are texts whose 64-bit SimHashes differ in three bits at most, found
+by the Golay keys of ``simhash``, and those that share a band of a MinHash
+signature: at similarity 0.8 two SimHashes differ in some ten bits, far beyond
+these keys, while a pair meets in one of BANDS bands of DEEP values with
+probability 0.9996.  Each candidate pair is verified on its whole sets of
+shingles.  First each node is compared with one node of its fingerprint, those
+of linked fingerprints, and one node of its bands.  What is apart still within
+a band meets by its rarest shingles alone: sets that are alike have one of them
 in common, so nothing is lost.  As only components are wanted, rounds come
 first in which each node is compared with a few others that share such shingles
 and aren't linked to it; what these link needs no pairs of its own, and all
@@ -20,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from framewright.llm import simhash
 from framewright.llm._components import components
 from framewright.llm._shared import forget, stored, tidy
 from framewright.llm._text import Words, grams, mix, words_of
@@ -63,8 +67,8 @@ def node_ids(words: Words, h: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, node, bands): a row per row; texts with equal sets of shingles
-    are one node."""
+    """(doc_id, node, bands, fp): a row per row; texts with equal sets of
+    shingles are one node; fp is a text's SimHash."""
 
     def run(batches):
         for batch in batches:
@@ -77,9 +81,10 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id",
                     bands[:, i // DEEP] = mix(bands[:, i // DEEP], np.minimum.reduceat(h * _TIMES[i] + _PLUS[i], at))
                 bands = mix(bands, np.arange(BANDS, dtype=np.uint64)[None, :])
                 keys = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(words.low, len(at)), pa.array(node.view(np.int64)), keys], names=["doc_id", "node", "bands"])
+                prints = np.array([simhash.fingerprint(t) for t in batch.column(1).slice(words.low, len(at)).to_pylist()], np.uint64)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(words.low, len(at)), pa.array(node.view(np.int64)), keys, pa.array(prints.view(np.int64))], names=["doc_id", "node", "bands", "fp"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(tidy(run), "doc_id long, node long, bands array<long>")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(tidy(run), "doc_id long, node long, bands array<long>, fp long")
 
 
 def with_node(docs: DataFrame, shingle: int, text_col: str) -> DataFrame:
@@ -128,6 +133,18 @@ def _apart(keys: DataFrame, roots: DataFrame) -> DataFrame:
     return placed.join(bands, "k", "left_semi")
 
 
+def _by_print(marks: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes by op8's method: each node of a fingerprint and its
+    first one, and the first ones of fingerprints that differ in three bits at
+    most."""
+    held = marks.select("fp", "node").distinct()
+    first = stored(held.groupBy("fp").agg(F.min("node").alias("first")), "prints")
+    links = simhash.links(first.select("fp"))
+    ends = [first.select(F.col("fp").alias(x), F.col("first").alias(f"f{x}")) for x in "ab"]
+    met = links.join(ends[0], "a").join(ends[1], "b").select(F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b"))
+    return held.join(first, "fp").select(F.col("first").alias("a"), F.col("node").alias("b")).union(met).where("a <> b").distinct()
+
+
 def _prefixes(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """(node, n, s, left, short) of the nodes' rarest shingles s: with shingles
     in one order, the rarest first, of sets that are alike the first
@@ -206,12 +223,14 @@ def _groups(docs: DataFrame, least: float, shingle: int, id_col: str, text_col:
     keys = nodes.select("node", F.explode("bands").alias("k"))
     met = keys.groupBy("k").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").select("k", "a")
     keys = stored(keys.join(met, "k"), "bands")
-    wanted = stored(keys.select("node").distinct().join(nodes.select("node", "least"), "node"), "wanted")
+    printed = stored(_by_print(marks), "printed")
+    wanted = keys.select("node").union(printed.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
+    wanted = stored(wanted.join(nodes.select("node", "least"), "node"), "wanted")
     texts = with_node(docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")), shingle, "t")
     texts = texts.join(wanted, (F.col("__node") == F.col("node")) & F.col("i").eqNullSafe(F.col("least"))).groupBy("node").agg(F.first("t").alias("t"))
     sets = stored(_sets(texts, shingle), "shingles")
     pairs = keys.groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a")).where("a <> b").select("a", "b")
-    links = stored(_alike(pairs, sets, least), "links")
+    links = stored(_alike(printed.union(pairs).distinct(), sets, least), "links")
     apart = _apart(keys, components(links)).select("node", "root").distinct()
     roots = components(stored(links.union(_rest(apart, sets, least)), "links"))
     named = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))

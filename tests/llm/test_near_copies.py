@@ -87,3 +87,25 @@ def test_a_large_group_makes_few_pairs(spark, monkeypatch):
     rows = edited(600, 150, 0.012, 5)
     got = {r.doc_id: r.component_id for r in near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute_force(rows) and max(made) < 30 * len(rows), made
+
+
+def test_candidates_come_from_simhash_too(spark, monkeypatch):
+    """Without any band in common, fingerprints within three bits still meet."""
+    import corpus_pipeline
+    from framewright.llm import simhash
+
+    rows = edited(1, 2_000, 0, 1) + [(i + 1, t) for i, t in edited(3, 2_000, 0.0006, 2)] + [(9, "something else that stands for itself")]
+    bits = [simhash.fingerprint(t) for _, t in rows]
+    assert all(0 < (bits[0] ^ x).bit_count() <= 3 or x == bits[0] for x in bits[:4])
+    monkeypatch.setattr(near_copies, "BANDS", 1)
+    monkeypatch.setattr(near_copies, "_apart", lambda keys, roots: keys.join(roots, "node").limit(0))
+    plain = near_copies.signatures
+
+    def alone(docs, *args):
+        from pyspark.sql import functions as F
+
+        return plain(docs, *args).withColumn("bands", F.array("node"))
+
+    monkeypatch.setattr(near_copies, "signatures", alone)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    assert kept == {0, 9}
