@@ -9,10 +9,11 @@ probability 0.9996.  Each candidate pair is verified on its whole sets of
 shingles.  First each node is compared with one node of its fingerprint, those
 of linked fingerprints, and one node of its bands.  What is apart still within
 a band meets by its rarest shingles alone: sets that are alike have one of them
-in common, so nothing is lost.  As only components are wanted, rounds come
-first in which each node is compared with a few others that share such shingles
-and aren't linked to it; what these link needs no pairs of its own, and all
-pairs of the rest are verified at the end.
+in common, so nothing is lost.  Where these are FEW pairs for each node, all
+are verified at once.  Else, as only components are wanted, rounds come first in
+which each node is compared with a few others that share such shingles and
+aren't linked to it; what these link needs no pairs of its own, and all pairs
+of the rest are verified at the end.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ BANDS = 20
 DEEP = 5
 ROUNDS = 6  # at most, before all pairs that are left
 PARTNERS = 3  # of a node in a round
-FEW = 8  # pairs left for each row of the prefixes, at which the rounds end
+MANY = 200  # places for each row of the prefixes at which pairs may meet, up to which they are looked for
+FEW = 30  # pairs for each node, up to which all are verified at once
 
 _RNG = np.random.Generator(np.random.PCG64(823))
 _TIMES = _RNG.integers(1, 2**63, BANDS * DEEP, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -146,32 +148,36 @@ def _by_print(marks: DataFrame) -> DataFrame:
 
 
 def _prefixes(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """(node, n, s, left, short) of the nodes' rarest shingles s: with shingles
-    in one order, the rarest first, of sets that are alike the first
+    """(node, n, s, w, left, short) of the nodes' rarest shingles: with
+    shingles in one order, the rarest first, of sets that are alike the first
     1 - ``least`` of the larger one and the first (1 - least) / (1 + least) of
     the smaller one (short) have one in common, and from the first such on both
-    have as many left as it takes."""
+    have as many left as it takes.  Shingles that the same nodes hold, as those
+    of a passage are, stand next to each other in that order and are one kind s,
+    of which a node's first ones hold w."""
     dense = stored(nodes.select("node").join(sets, "node"), "dense")
     each = dense.select("node", F.explode("shingles").alias("s"))
-    shared = each.groupBy("s").agg(F.count("*").alias("c")).where("c > 1")
-    ranked = each.join(shared, "s").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("c", "s"))).alias("held"))
+    shared = each.groupBy("s").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("who")).where("c > 1")
+    ranked = each.join(shared, "s").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("c", "who"))).alias("held"))
     ranked = dense.select("node", "n").join(ranked, "node").withColumn("u", F.col("n") - F.size("held"))
 
     def length(share: float) -> F.Column:
         return F.greatest(F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1 - F.col("u"), F.lit(0)).cast("int")
 
     rows = ranked.select("node", "n", "u", length(2 * least / (1 + least)).alias("few"), F.posexplode(F.slice("held", F.lit(1), length(least))).alias("i", "e"))
-    return stored(rows.select("node", "n", F.col("e.s").alias("s"), (F.col("n") - F.col("u") - F.col("i")).alias("left"), (F.col("i") < F.col("few")).alias("short")), "prefixes")
+    rows = rows.groupBy("node", "n", "u", "few", "e").agg(F.min("i").alias("i"), F.count("*").alias("w"))
+    return stored(rows.select("node", "n", F.xxhash64("e.c", "e.who").alias("s"), "w", (F.col("n") - F.col("u") - F.col("i")).alias("left"), (F.col("i") < F.col("few")).alias("short")), "prefixes")
 
 
 def _some(rows: DataFrame, turn: int, least: float) -> DataFrame:
-    """Pairs (a, b): for each node of rows (s, node, root, n) up to PARTNERS of
-    other roots.  Each shingle offers a node of one root, and one of another to
-    that root's nodes, drawn anew each turn; a node takes those that come with
-    most of its shingles."""
-    me = F.struct(F.xxhash64(F.lit(turn), "s", "root").alias("of"), F.xxhash64(F.lit(turn), "s", "node").alias("at"), "node", "root", "n")
-    ends = rows.groupBy("s").agg(F.min(me).alias("lo"), F.max(me).alias("hi"))
-    met = rows.join(ends, "s").withColumn("o", F.when(F.col("root") != F.col("lo.root"), F.col("lo")).otherwise(F.col("hi")))
+    """Pairs (a, b): for each node of rows (s, node, root, n, w) up to PARTNERS
+    of other roots.  Each shingle of a kind offers a node of one root, and one of
+    another to that root's nodes, drawn anew each turn; a node takes those that
+    come with most of its shingles."""
+    rows = rows.select("s", F.explode(F.sequence(F.lit(1), F.col("w").cast("int"))).alias("j"), "node", "root", "n")
+    me = F.struct(F.xxhash64(F.lit(turn), "s", "j", "root").alias("of"), F.xxhash64(F.lit(turn), "s", "j", "node").alias("at"), "node", "root", "n")
+    ends = rows.groupBy("s", "j").agg(F.min(me).alias("lo"), F.max(me).alias("hi"))
+    met = rows.join(ends, ["s", "j"]).withColumn("o", F.when(F.col("root") != F.col("lo.root"), F.col("lo")).otherwise(F.col("hi")))
     met = met.where((F.col("root") != F.col("o.root")) & (F.least("n", "o.n") >= F.lit(least) * F.greatest("n", "o.n") - 1e-9))
     met = met.groupBy("node", F.col("o.node").alias("other")).agg(F.count("*").alias("c"))
     best = met.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("c", F.xxhash64(F.lit(turn), "node", "other").alias("at"), "other")), False), 1, PARTNERS).alias("x"))
@@ -188,32 +194,40 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     return stored(roots, "roots")
 
 
+def _met(held: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """All pairs (a, b) of different roots whose prefixes let them be alike."""
+    x, y = (held.join(roots, "node").select("s", F.col("node").alias(e), F.col("n").alias(f"n{e}"), F.col("root").alias(f"r{e}"), F.col("left").alias(f"l{e}"), F.col("short").alias(f"short{e}")) for e in "xy")
+    sizes = (F.struct("nx", "x") < F.struct("ny", "y")) & (F.col("nx") >= F.lit(least) * F.col("ny") - 1e-9)
+    enough = F.least("lx", "ly") >= F.lit(least / (1 + least)) * (F.col("nx") + F.col("ny")) - 1e-9  # from there on
+    pairs = x.where("shortx").join(y, "s").where(sizes & enough & (F.col("rx") != F.col("ry")))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def _rest(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Links (a, b) between nodes (node, root) that join all components which
     pairs of similarity ``least`` or more make."""
-    roots, links = stored(nodes, "roots"), None
-    held = _prefixes(roots, sets, least)
-    for turn in range(ROUNDS):
+    spark, roots, links = nodes.sparkSession, stored(nodes, "roots"), None
+    held, last = _prefixes(roots, sets, least), False
+    for turn in range(ROUNDS + 1):
+        last |= turn == ROUNDS
         rows = held.join(roots, "node")
         apart = rows.groupBy("s").agg(F.min("root").alias("r"), F.max("root").alias("z")).where("r < z").select("s")
         before, held = held, stored(held.join(apart, "s", "left_semi"), "prefixes")
-        forget(nodes.sparkSession, before)
+        forget(spark, before)
         rows = held.join(roots, "node")
-        of_root = rows.groupBy("s", "root").agg(F.count("*").cast("double").alias("c")).groupBy("s").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("own"))
-        n, left = of_root.agg(F.sum("c"), F.sum(F.col("c") * F.col("c") - F.col("own")) / 2).first()
-        if not n or turn > 1 and left <= FEW * n:
-            break
+        ends = rows.groupBy("s", "root").agg(F.count("*").cast("double").alias("c"), F.count_if("short").alias("few"))
+        ends = ends.groupBy("s").agg(F.sum("c").alias("c"), F.sum("few").alias("few"), F.sum(F.col("c") * F.col("few")).alias("own"))
+        n, left = ends.agg(F.sum("c"), F.sum(F.col("c") * F.col("few") - F.col("own"))).first()
+        if last or left is None or left <= MANY * n:
+            pairs = stored(_met(held, roots, least), "pairs")
+            if last or pairs.count() <= FEW * held.select("node").distinct().count():
+                found = _alike(pairs, sets, least)
+                return links.union(found) if links is not None else found
+            forget(spark, pairs)
         found = stored(_alike(_some(rows, turn, least), sets, least), "links")
         links = links.union(found) if links is not None else found
-        if found.isEmpty():
-            break
+        last = found.isEmpty()
         roots = _merged(roots, found)
-    x, y = (held.join(roots, "node").select("s", F.col("node").alias(e), F.col("n").alias(f"n{e}"), F.col("root").alias(f"r{e}"), F.col("left").alias(f"l{e}"), F.col("short").alias(f"short{e}")) for e in "xy")
-    sizes = (F.struct("nx", "x") < F.struct("ny", "y")) & (F.col("nx") >= F.lit(least) * F.col("ny") - 1e-9)
-    enough = F.least("lx", "ly") >= F.lit(least / (1 + least)) * (F.col("nx") + F.col("ny")) - 1e-9  # from there on
-    pairs = x.where("shortx").join(y, "s").where(sizes & enough & (F.col("rx") != F.col("ry")))
-    found = _alike(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), sets, least)
-    return links.union(found) if links is not None else found
 
 
 def _groups(docs: DataFrame, least: float, shingle: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:

@@ -109,3 +109,26 @@ def test_candidates_come_from_simhash_too(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "signatures", alone)
     kept = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
     assert kept == {0, 9}
+
+
+def test_groups_of_few_pairs_need_no_rounds(spark, monkeypatch):
+    """Rounds over groups whose texts are mostly below the similarity took more
+    rows than all pairs do, and more of them the larger the table was."""
+    plain, turns = near_copies._some, []
+
+    def counted(rows, turn, least):
+        turns.append(turn)
+        return plain(rows, turn, least)
+
+    monkeypatch.setattr(near_copies, "_some", counted)
+    rows = [(100 * g + i, t.replace("w", f"g{g}w")) for g in range(8) for i, t in edited(10, 150, 0.02, g)]
+    got = {r.doc_id: r.component_id for r in near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_force(rows) and not turns
+    assert any(d != r for d, r in got.items()) and len(set(got.values())) > 8
+
+
+def test_shingles_of_the_same_texts_are_one_row(spark):
+    sets = spark.createDataFrame([(1, 100, list(range(100))), (2, 100, list(range(100))), (3, 100, list(range(90)) + list(range(200, 210)))], "node long, n int, shingles array<long>")
+    rows = near_copies._prefixes(sets.selectExpr("node", "node as root"), sets, 0.8).collect()
+    # 10 shingles of nodes 1 and 2 alone and 11 of 90 that all hold; node 3's own 10 come before
+    assert sorted((r.node, r.w, r.left, r.short) for r in rows) == [(1, 10, 100, True), (1, 11, 90, True), (2, 10, 100, True), (2, 11, 90, True), (3, 11, 90, True)]
