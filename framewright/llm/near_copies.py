@@ -9,11 +9,14 @@ probability 0.9996.  Each candidate pair is verified on its whole sets of
 shingles.  First each node is compared with one node of its fingerprint, those
 of linked fingerprints, and one node of its bands.  What is apart still within
 a band meets by its rarest shingles alone: sets that are alike have one of them
-in common, so nothing is lost.  Where these are FEW pairs for each node, all
-are verified at once.  Else, as only components are wanted, rounds come first in
-which each node is compared with a few others that share such shingles and
-aren't linked to it; what these link needs no pairs of its own, and all pairs
-of the rest are verified at the end.
+in common, so nothing is lost.  Of these pairs only those are made whose
+sketches, parities of 1,024 cells of a set's shingles, let them be alike: the
+cells that differ are never more than the shingles that do, so here too nothing
+is lost.  Where these are FEW pairs for each node, all are verified at once.
+Else, as only components are wanted, rounds come first in which each node is
+compared with a few others that share such shingles and aren't linked to it;
+what these link needs no pairs of its own, and all pairs of the rest are
+verified at the end.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ ROUNDS = 6  # at most, before all pairs that are left
 PARTNERS = 3  # of a node in a round
 MANY = 200  # places for each row of the prefixes at which pairs may meet, up to which they are looked for
 FEW = 30  # pairs for each node, up to which all are verified at once
+CELLS = 16  # words of 64 cells of a sketch
 
 _RNG = np.random.Generator(np.random.PCG64(823))
 _TIMES = _RNG.integers(1, 2**63, BANDS * DEEP, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -101,17 +105,38 @@ def with_node(docs: DataFrame, shingle: int, text_col: str) -> DataFrame:
     return docs.mapInArrow(tidy(run), T.StructType([*docs.schema.fields, T.StructField("__node", T.LongType())]))
 
 
+def sketches(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """(rows, CELLS): of each row's sorted shingles the parities of how many
+    fall into each cell.  Those of two sets differ by the shingles that only one
+    of them has, so in as many cells at most."""
+    word = np.repeat(np.arange(len(first) - 1) * CELLS, np.diff(first)) + (h >> np.uint64(60)).astype(np.int64)
+    start = np.flatnonzero(np.diff(word, prepend=-1))
+    found = np.zeros((len(first) - 1) * CELLS, np.uint64)
+    if len(h):
+        found[word[start]] = np.bitwise_xor.reduceat(np.uint64(1) << (h >> np.uint64(54) & np.uint64(63)), start)
+    return found.reshape(-1, CELLS)
+
+
+def _may(nx: str, ny: str, sx: str, sy: str, least: float) -> F.Column:
+    """Whether sizes and sketches of two sets let their similarity be ``least``."""
+    sizes = F.least(nx, ny) >= F.lit(least) * F.greatest(nx, ny) - 1e-9
+    differ = sum((F.bit_count(F.col(sx)[i].bitwiseXOR(F.col(sy)[i])) for i in range(1, CELLS)), F.bit_count(F.col(sx)[0].bitwiseXOR(F.col(sy)[0])))
+    return sizes & (differ <= F.lit((1 - least) / (1 + least)) * (F.col(nx) + F.col(ny)) + 1e-6)
+
+
 def _sets(texts: DataFrame, shingle: int) -> DataFrame:
-    """(node, n, shingles) of texts (node, t)."""
+    """(node, n, shingles, sketch) of texts (node, t)."""
 
     def run(batches):
         for batch in batches:
             for words in words_of(batch.column(1), lower=True):
                 h, first = shingles(words, shingle)
                 lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(words.low, words.high - words.low), pa.array(np.diff(first).astype(np.int32)), lists], names=["node", "n", "shingles"])
+                cells = sketches(h, first)
+                cells = pa.ListArray.from_arrays(pa.array(np.arange(len(cells) + 1, dtype=np.int32) * CELLS), pa.array(cells.ravel().view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(words.low, words.high - words.low), pa.array(np.diff(first).astype(np.int32)), lists, cells], names=["node", "n", "shingles", "sketch"])
 
-    return texts.mapInArrow(tidy(run), "node long, n int, shingles array<long>")
+    return texts.mapInArrow(tidy(run), "node long, n int, shingles array<long>, sketch array<long>")
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -170,15 +195,15 @@ def _prefixes(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def _some(rows: DataFrame, turn: int, least: float) -> DataFrame:
-    """Pairs (a, b): for each node of rows (s, node, root, n, w) up to PARTNERS
-    of other roots.  Each shingle of a kind offers a node of one root, and one of
-    another to that root's nodes, drawn anew each turn; a node takes those that
-    come with most of its shingles."""
-    rows = rows.select("s", F.explode(F.sequence(F.lit(1), F.col("w").cast("int"))).alias("j"), "node", "root", "n")
-    me = F.struct(F.xxhash64(F.lit(turn), "s", "j", "root").alias("of"), F.xxhash64(F.lit(turn), "s", "j", "node").alias("at"), "node", "root", "n")
+    """Pairs (a, b): for each node of rows (s, node, root, n, w, sketch) up to
+    PARTNERS of other roots that it may be like.  Each shingle of a kind offers a
+    node of one root, and one of another to that root's nodes, drawn anew each
+    turn; a node takes those that come with most of its shingles."""
+    rows = rows.select("s", F.explode(F.sequence(F.lit(1), F.col("w").cast("int"))).alias("j"), "node", "root", "n", "sketch")
+    me = F.struct(F.xxhash64(F.lit(turn), "s", "j", "root").alias("of"), F.xxhash64(F.lit(turn), "s", "j", "node").alias("at"), "node", "root", "n", "sketch")
     ends = rows.groupBy("s", "j").agg(F.min(me).alias("lo"), F.max(me).alias("hi"))
     met = rows.join(ends, ["s", "j"]).withColumn("o", F.when(F.col("root") != F.col("lo.root"), F.col("lo")).otherwise(F.col("hi")))
-    met = met.where((F.col("root") != F.col("o.root")) & (F.least("n", "o.n") >= F.lit(least) * F.greatest("n", "o.n") - 1e-9))
+    met = met.where((F.col("root") != F.col("o.root")) & _may("n", "o.n", "sketch", "o.sketch", least))
     met = met.groupBy("node", F.col("o.node").alias("other")).agg(F.count("*").alias("c"))
     best = met.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("c", F.xxhash64(F.lit(turn), "node", "other").alias("at"), "other")), False), 1, PARTNERS).alias("x"))
     best = best.select("node", F.explode("x.other").alias("other"))
@@ -186,48 +211,52 @@ def _some(rows: DataFrame, turn: int, least: float) -> DataFrame:
 
 
 def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """Roots (node, root), each replaced by the least that a link leads to."""
+    """Roots (node, root, sketch), each replaced by the least that a link leads to."""
     ends = links.join(roots.select(F.col("node").alias("a"), F.col("root").alias("v")), "a").join(roots.select(F.col("node").alias("b"), F.col("root").alias("w")), "b")
     least = ends.select(F.explode(F.array(F.struct("v", "w"), F.struct(F.col("w").alias("v"), F.col("v").alias("w")))).alias("e")).select("e.*").groupBy("v").agg(F.min("w").alias("m")).where("m < v")
     for _ in range(2):  # and on from there
-        roots = roots.join(least.withColumnRenamed("v", "root"), "root", "left").select("node", F.coalesce("m", "root").alias("root"))
+        roots = roots.join(least.withColumnRenamed("v", "root"), "root", "left").select("node", F.coalesce("m", "root").alias("root"), "sketch")
     return stored(roots, "roots")
 
 
-def _met(held: DataFrame, roots: DataFrame, least: float) -> DataFrame:
-    """All pairs (a, b) of different roots whose prefixes let them be alike."""
-    x, y = (held.join(roots, "node").select("s", F.col("node").alias(e), F.col("n").alias(f"n{e}"), F.col("root").alias(f"r{e}"), F.col("left").alias(f"l{e}"), F.col("short").alias(f"short{e}")) for e in "xy")
-    sizes = (F.struct("nx", "x") < F.struct("ny", "y")) & (F.col("nx") >= F.lit(least) * F.col("ny") - 1e-9)
-    enough = F.least("lx", "ly") >= F.lit(least / (1 + least)) * (F.col("nx") + F.col("ny")) - 1e-9  # from there on
-    pairs = x.where("shortx").join(y, "s").where(sizes & enough & (F.col("rx") != F.col("ry")))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def _met(rows: DataFrame, least: float) -> DataFrame:
+    """All pairs (a, b) of different roots whose prefixes and sketches let them
+    be alike."""
+    x, y = (rows.select("s", *[F.col(c).alias(f"{c}{e}") for c in ("node", "n", "root", "left", "short", "sketch")]) for e in "xy")
+    sizes = (F.struct("nx", "nodex") < F.struct("ny", "nodey")) & (F.col("rootx") != F.col("rooty"))
+    enough = F.least("leftx", "lefty") >= F.lit(least / (1 + least)) * (F.col("nx") + F.col("ny")) - 1e-9  # from there on
+    pairs = x.where("shortx").join(y, "s").where(sizes & enough & _may("nx", "ny", "sketchx", "sketchy", least))
+    return pairs.select(F.least("nodex", "nodey").alias("a"), F.greatest("nodex", "nodey").alias("b")).distinct()
 
 
 def _rest(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Links (a, b) between nodes (node, root) that join all components which
     pairs of similarity ``least`` or more make."""
-    spark, roots, links = nodes.sparkSession, stored(nodes, "roots"), None
+    spark, links = nodes.sparkSession, None
+    roots = stored(nodes.join(sets.select("node", "sketch"), "node"), "roots")
     held, last = _prefixes(roots, sets, least), False
     for turn in range(ROUNDS + 1):
         last |= turn == ROUNDS
-        rows = held.join(roots, "node")
-        apart = rows.groupBy("s").agg(F.min("root").alias("r"), F.max("root").alias("z")).where("r < z").select("s")
-        before, held = held, stored(held.join(apart, "s", "left_semi"), "prefixes")
-        forget(spark, before)
-        rows = held.join(roots, "node")
+        before, held = held, stored(held.join(roots, "node"), "prefixes")
+        apart = held.groupBy("s").agg(F.min("root").alias("r"), F.max("root").alias("z")).where("r < z").select("s")
+        rows = stored(held.join(apart, "s", "left_semi"), "prefixes")
+        forget(spark, before, held)
         ends = rows.groupBy("s", "root").agg(F.count("*").cast("double").alias("c"), F.count_if("short").alias("few"))
         ends = ends.groupBy("s").agg(F.sum("c").alias("c"), F.sum("few").alias("few"), F.sum(F.col("c") * F.col("few")).alias("own"))
         n, left = ends.agg(F.sum("c"), F.sum(F.col("c") * F.col("few") - F.col("own"))).first()
         if last or left is None or left <= MANY * n:
-            pairs = stored(_met(held, roots, least), "pairs")
-            if last or pairs.count() <= FEW * held.select("node").distinct().count():
+            pairs = stored(_met(rows, least), "pairs")
+            if last or pairs.count() <= FEW * rows.select("node").distinct().count():
                 found = _alike(pairs, sets, least)
                 return links.union(found) if links is not None else found
             forget(spark, pairs)
         found = stored(_alike(_some(rows, turn, least), sets, least), "links")
         links = links.union(found) if links is not None else found
         last = found.isEmpty()
-        roots = _merged(roots, found)
+        before, roots = roots, _merged(roots, found)
+        forget(spark, before)
+        held = rows.drop("root", "sketch")
+        held.stored_at = rows.stored_at
 
 
 def _groups(docs: DataFrame, least: float, shingle: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:

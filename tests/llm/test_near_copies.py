@@ -132,3 +132,46 @@ def test_shingles_of_the_same_texts_are_one_row(spark):
     rows = near_copies._prefixes(sets.selectExpr("node", "node as root"), sets, 0.8).collect()
     # 10 shingles of nodes 1 and 2 alone and 11 of 90 that all hold; node 3's own 10 come before
     assert sorted((r.node, r.w, r.left, r.short) for r in rows) == [(1, 10, 100, True), (1, 11, 90, True), (2, 10, 100, True), (2, 11, 90, True), (3, 11, 90, True)]
+
+
+def test_sketches_differ_in_no_more_cells_than_sets(spark):
+    rng = np.random.default_rng(8)
+    for n in (1, 7, 150, 5_000):
+        for changed in {0, 1, n // 5, n}:
+            a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2))
+            b = np.unique(np.concatenate([a[changed:], rng.integers(0, 2**63, changed, dtype=np.uint64) * np.uint64(2) + np.uint64(1)]))
+            x = near_copies.sketches(np.concatenate([a, b]), np.cumsum([0, len(a), len(b)]))
+            cells, most = np.bitwise_count(x[0] ^ x[1]).sum(), len(np.setxor1d(a, b))
+            assert cells <= most and (most > 100 or cells >= 0.8 * most)
+
+
+def test_texts_below_the_similarity_make_few_pairs(spark, monkeypatch):
+    """Texts of one text, most of them too far from each other: they share its
+    rare shingles, and all that did were compared in full."""
+    verify, made = near_copies._alike, []
+
+    def counted(pairs, sets, least):
+        made.append(pairs.count())
+        return verify(pairs, sets, least)
+
+    monkeypatch.setattr(near_copies, "_alike", counted)
+    rows = edited(400, 150, 0.035, 7)
+    got = {r.doc_id: r.component_id for r in near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_force(rows) and 1 < len(set(got.values())) < 400
+    assert len(made) == 2 and made[1] < 3 * len(rows), made
+
+
+def test_rounds_alone_link_the_same(spark, monkeypatch):
+    """Each round joins the prefixes with the roots once."""
+    monkeypatch.setattr(near_copies, "FEW", 0)
+    plain, turns = near_copies._some, []
+
+    def counted(rows, turn, least):
+        turns.append(turn)
+        assert {"root", "sketch"} <= set(rows.columns) and "Join" not in rows._jdf.queryExecution().toString()
+        return plain(rows, turn, least)
+
+    monkeypatch.setattr(near_copies, "_some", counted)
+    rows = edited(150, 150, 0.015, 6)
+    got = {r.doc_id: r.component_id for r in near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_force(rows) and turns
